@@ -14,9 +14,14 @@ Money is built from integer cents so both engines produce the same doubles.
 
 from __future__ import annotations
 
+import hashlib
+import os
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.sources.readers import conform
+from tripflow.session import CHECKPOINT_CONF, checkpoint_dir
+from tripflow.sources.readers import conform, read_feed, read_zone_csv
 from tripflow.sources.schemas import RAW_SCHEMAS
 
 SOURCE_TABLES = ("lineitem", "orders", "customer", "events", "nation", "region")
@@ -127,7 +132,55 @@ def raw_feed(spark: SparkSession, sf_dir: str, feed: str,
     return conform(spark.sql(text, **used), RAW_SCHEMAS[feed])
 
 
-def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All four derived raw feeds: ``yellow``, ``green``, ``hvfhv``, ``zone``."""
+def derived_raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All four raw feeds as lazy derivations (no files written)."""
     tables = source_tables(spark, sf_dir)
     return {f: raw_feed(spark, sf_dir, f, tables) for f in FEED_SQL}
+
+
+def _work_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder; test sessions without one get a private folder."""
+    sc = spark.sparkContext
+    if not (sc.getCheckpointDir() or sc.getConf().get(CHECKPOINT_CONF, None)
+            or spark.conf.get(CHECKPOINT_CONF, None)):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tripflow-ckpt-"))
+    return checkpoint_dir(spark)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
+
+
+def materialize_raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Write the derived feeds once, as a real deployment receives them.
+
+    Trip feeds become Parquet folders, the zone lookup a CSV file with a
+    header, under the session's checkpoint folder; a feed already written
+    (``_SUCCESS`` present) is reused. Returns feed -> path.
+    """
+    base = os.path.join(_work_dir(spark), "tripflow-raw",
+                        hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:16])
+    tables = None
+    paths = {}
+    for feed in FEED_SQL:
+        path = os.path.join(base, feed)
+        if not _exists(spark, os.path.join(path, "_SUCCESS")):
+            tables = tables or source_tables(spark, sf_dir)
+            df = raw_feed(spark, sf_dir, feed, tables)
+            if feed == "zone":
+                df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+            else:
+                # small row groups: a file splits into several scan tasks, as large files do
+                df.write.mode("overwrite").option("parquet.block.size", 1 << 20).parquet(path)
+        paths[feed] = path
+    return paths
+
+
+def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All four raw feeds read from their materialised files (A1 Parquet, A2 CSV)."""
+    paths = materialize_raw_feeds(spark, sf_dir)
+    out = {f: read_feed(spark, paths[f], RAW_SCHEMAS[f]) for f in ("yellow", "green", "hvfhv")}
+    out["zone"] = read_zone_csv(spark, paths["zone"])
+    return out
