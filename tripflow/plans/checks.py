@@ -12,12 +12,11 @@ check library the reference uses:
 * ``within_percentage``: rows deviating more than ``threshold_pct`` percent.
 * singular checks (``no_future_trips``, ``total_equals_components``): rows returned.
 
-Execution plan of ``run_checks``: per table, every ``not_null`` check is one
-``count_if`` in a single aggregate, and every ``accepted_values`` check of the
-table shares one scan that emits only the offending ``(check, value)`` pairs.
-Key checks aggregate map-side before their shuffle, so a key holding a third
-of the rows collapses to one row per task. Orphan checks shuffle distinct keys
-only and broadcast the parent when it is proven small. Nothing is collected.
+Execution plan of ``run_checks``: all column checks of one table run as one
+job (one scan, one shuffle of tagged keys aggregated map-side, so a key
+holding a third of the rows collapses to one row per task); orphan checks
+join distinct keys only and broadcast the parents when proven small. The
+singular checks are one filter-count each. Nothing is collected.
 """
 
 from __future__ import annotations
@@ -33,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.functions.exprs import boundaries_between, pct_deviation
-from tripflow.operators.joins import orphan_rows
+from tripflow.operators.joins import DEFAULT_BROADCAST_ROWS, orphan_rows
 
 ERROR, WARN = "error", "warn"
 
@@ -141,6 +140,23 @@ SINGULAR = {
     "total_equals_components": lambda t, p: total_mismatch(t, p.get("tolerance", TOTAL_TOLERANCE)),
 }
 
+# The same checks as row predicates, so they fold into the table's fused scan.
+ROW_PREDICATES = {
+    "no_future_trips": lambda p: F.col("pickup_at") > as_of_column(p.get("as_of")),
+    "total_equals_components": lambda p: (
+        F.col("vehicle_class").isin(*METERED_CLASSES)
+        & (F.abs(F.col("total_amount") - computed_total()) > F.lit(p.get("tolerance", TOTAL_TOLERANCE)))),
+}
+
+
+def _row_predicate(c: Check) -> Column:
+    if c.kind == "within_percentage":
+        col, base = c.columns[0], c.params["compare_column"]
+        dev = pct_deviation(col, base)
+        return (F.col(base).isNotNull() & F.col(col).isNotNull()
+                & (dev > F.lit(float(c.params.get("threshold_pct", 10)))))
+    return ROW_PREDICATES[c.params["test"]](c.params)
+
 
 # ---- the suite runner ----
 
@@ -150,61 +166,118 @@ def _count(df: DataFrame, check_id: str, rows_col: str | None = None) -> DataFra
              .select(F.lit(check_id).alias("check_id"), "failures")
 
 
-def _not_null_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All not_null checks of one table in one aggregate, unpivoted to rows."""
-    aggs = [F.count_if(F.col(c.columns[0]).isNull()).alias(f"c{i}") for i, c in enumerate(checks)]
-    wide = df.agg(*aggs)
-    pairs = F.array(*[F.struct(F.lit(c.check_id).alias("check_id"),
-                               F.col(f"c{i}").cast("bigint").alias("failures"))
-                      for i, c in enumerate(checks)])
-    return wide.select(F.inline(pairs))
+COLUMN_KINDS = ("not_null", "unique", "accepted_values", "relationships", "unique_combination",
+                "within_percentage", "singular")
+
+
+def _emit(c: Check, idx: int) -> Column:
+    """The ``(check index, key)`` pair one row contributes to check ``c`` (or NULL)."""
+    def tag(k: Column) -> Column:
+        return F.struct(F.lit(idx).alias("i"), k.cast("string").alias("k"))
+    if c.kind == "unique_combination":
+        return tag(F.to_json(F.struct(*[F.col(x) for x in c.columns])))
+    if c.kind in ("within_percentage", "singular"):
+        return F.when(_row_predicate(c), tag(F.lit(None)))
+    col = F.col(c.columns[0])
+    if c.kind == "not_null":
+        return F.when(col.isNull(), tag(F.lit(None)))
+    if c.kind == "accepted_values":
+        return F.when(col.isNotNull() & ~col.isin(list(c.values)), tag(col))
+    return F.when(col.isNotNull(), tag(col))        # unique, relationships
+
 
+class _SizeProofs:
+    """Row-count bounds of parent tables, each proven once per suite run."""
 
-def _accepted_values_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All accepted_values checks of one table in one scan.
+    def __init__(self, max_rows: int = DEFAULT_BROADCAST_ROWS):
+        self.max_rows, self._seen = max_rows, {}
 
-    Each row emits only its offending ``(check, value)`` pairs; distinct pairs
-    are then counted per check. Partial aggregation keeps the shuffle at the
-    number of distinct bad values per task.
+    def rows_at_most(self, df: DataFrame) -> int | None:
+        key = id(df)
+        if key not in self._seen:
+            n = df.limit(self.max_rows + 1).count()
+            self._seen[key] = (df, n if n <= self.max_rows else None)
+        return self._seen[key][1]
+
+    def all_small(self, frames: list[DataFrame]) -> bool:
+        total = 0
+        for f in frames:
+            n = self.rows_at_most(f)
+            if n is None:
+                return False
+            total += n
+        return total <= self.max_rows
+
+
+def _parent_keys(df: DataFrame, checks: list[tuple[int, Check]],
+                 tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Distinct parent keys of the relationship checks, tagged by check index.
+
+    Parent keys take the child column's type before becoming text, so they
+    compare as the typed columns would.
     """
-    bad = []
-    for c in checks:
-        col = F.col(c.columns[0])
-        bad.append(F.when(col.isNotNull() & ~col.isin(list(c.values)),
-                          F.struct(F.lit(c.check_id).alias("check_id"),
-                                   col.cast("string").alias("v"))))
-    pairs = F.filter(F.array(*bad), lambda x: x.isNotNull())
-    return (df.select(F.explode(pairs).alias("p"))
-            .select("p.check_id", "p.v").distinct()
-            .groupBy("check_id").agg(F.count(F.lit(1)).cast("bigint").alias("failures")))
+    parts = []
+    for i, c in checks:
+        ctype = df.schema[c.columns[0]].dataType
+        parts.append(tables[c.to].select(F.lit(i).alias("i"),
+                                         F.col(c.field).cast(ctype).cast("string").alias("k")))
+    keys = functools.reduce(lambda a, b: a.unionByName(b), parts)
+    return keys.where(F.col("k").isNotNull()).distinct()
+
+
+_PER_ROW = ("not_null", "relationships", "within_percentage", "singular")
+_PER_DUPLICATE_KEY = ("unique", "unique_combination")
+
+
+def _column_check_counts(df: DataFrame, checks: list[Check],
+                         tables: Mapping[str, DataFrame], proofs: _SizeProofs) -> DataFrame:
+    """Every check of one table in one scan and one shuffle.
+
+    Each row emits a ``(check index, key)`` pair per check it concerns (NULL
+    for not_null and row predicates, offending values for accepted_values,
+    every non-NULL key for unique/relationships, the column tuple for
+    unique_combination). A grouped count per pair (partial aggregation
+    map-side: a hot key becomes one row per task) is followed by one anti join
+    with the tagged parent keys (broadcast when proven small) and a
+    per-check reduction:
+
+    * not_null, relationships, row predicates: rows (sum of counts),
+    * unique, unique_combination: keys counted more than once,
+    * accepted_values: distinct offending values.
+    """
+    pairs = F.array(*[_emit(c, i) for i, c in enumerate(checks)])
+    emitted = (df.select(F.explode(pairs).alias("p")).where(F.col("p").isNotNull())
+               .select("p.i", "p.k"))
+    per_key = emitted.groupBy("i", "k").agg(F.count(F.lit(1)).alias("n"))
+    rel = [(i, c) for i, c in enumerate(checks) if c.kind == "relationships"]
+    if rel:
+        parents = _parent_keys(df, rel, tables)
+        if proofs.all_small([tables[c.to] for _, c in rel]):
+            parents = F.broadcast(parents)
+        # indexes are unique per check, so only relationship pairs can ever match
+        per_key = per_key.join(parents, ["i", "k"], "left_anti")
+    i = F.col("i")
+    dup = [j for j, c in enumerate(checks) if c.kind in _PER_DUPLICATE_KEY]
+    dom = [j for j, c in enumerate(checks) if c.kind == "accepted_values"]
+    contribution = (F.when(i.isin(dup), (F.col("n") > 1).cast("bigint"))
+                    .when(i.isin(dom), F.lit(1).cast("bigint"))
+                    .otherwise(F.col("n")))
+    counts = per_key.groupBy("i").agg(F.sum(contribution).cast("bigint").alias("failures"))
+    ids = F.element_at(F.array(*[F.lit(c.check_id) for c in checks]), i + 1)
+    return counts.select(ids.alias("check_id"), "failures")
 
 
 def check_failures(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """(check_id, failures) for the checks that can fail; absent ids mean 0."""
     parts: list[DataFrame] = []
-    by_model: dict[tuple[str, str], list[Check]] = defaultdict(list)
+    by_model: dict[str, list[Check]] = defaultdict(list)
     for c in checks:
-        if c.kind in ("not_null", "accepted_values"):
-            by_model[(c.model, c.kind)].append(c)
-        elif c.kind == "unique":
-            parts.append(_count(unique_failures(tables[c.model], c.columns[0]), c.check_id))
-        elif c.kind == "unique_combination":
-            parts.append(_count(unique_combination_failures(tables[c.model], c.columns), c.check_id))
-        elif c.kind == "relationships":
-            orphans = relationships_failures(tables[c.model], c.columns[0], tables[c.to], c.field)
-            parts.append(_count(orphans, c.check_id, rows_col="_rows"))
-        elif c.kind == "within_percentage":
-            p = c.params
-            parts.append(_count(within_percentage_failures(
-                tables[c.model], c.columns[0], p["compare_column"], p.get("threshold_pct", 10)),
-                c.check_id))
-        elif c.kind == "singular":
-            parts.append(_count(SINGULAR[c.params["test"]](tables[c.model], c.params), c.check_id))
-        else:
+        if c.kind not in COLUMN_KINDS:
             raise ValueError(f"unknown check kind {c.kind}")
-    for (model, kind), group in by_model.items():
-        fn = _not_null_counts if kind == "not_null" else _accepted_values_counts
-        parts.append(fn(tables[model], group))
+        by_model[c.model].append(c)
+    proofs = _SizeProofs()
+    for model, group in by_model.items():
+        parts.append(_column_check_counts(tables[model], group, tables, proofs))
     return functools.reduce(lambda a, b: a.unionByName(b), parts)
 
 

@@ -14,6 +14,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# Let the JIT compile large generated methods (recommended for executors too).
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -53,7 +55,12 @@ def local_session(app: str = "tripflow", cores: int | str = "*", shuffle_partiti
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.driver.memory", "8g"))
+         .config("spark.driver.memory", "8g")
+         # PySpark call-site capture costs ~1 ms per Column call while building plans
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+         # wide staging projections generate methods above the JVM's 8 KB JIT limit
+         .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
+         .config("spark.executor.extraJavaOptions", JIT_OPTIONS))
     if checkpoint:
         b = b.config(CHECKPOINT_CONF, checkpoint)
     for k, v in (extra or {}).items():
