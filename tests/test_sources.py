@@ -1,0 +1,34 @@
+"""Sources (A1-A4): Parquet feeds with drift, zone CSV, literal relations, date spine."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from tripflow.sources import schemas as S
+from tripflow.sources.readers import date_spine, read_feed, read_zone_csv
+
+
+def test_zone_csv_null_and_na(spark, tmp_path):  # E23
+    p = tmp_path / "zones.csv"
+    p.write_text("LocationID,Borough,Zone,service_zone\n1,EWR,Newark Airport,EWR\n264,Unknown,N/A,N/A\n265,,Outside,\n")
+    rows = {r.LocationID: r for r in read_zone_csv(spark, str(p)).collect()}
+    assert rows[264].Zone == "N/A" and rows[264].service_zone == "N/A"
+    assert rows[265].Borough is None and rows[265].service_zone is None
+
+
+def test_feed_with_drifting_files(spark, tmp_path):
+    """One month stores VendorID as bigint and passenger_count as int, with a lower-case column."""
+    a, b = str(tmp_path / "m1"), str(tmp_path / "m2")
+    spark.createDataFrame([(1, 1.0, 2.5)], "VendorID int, passenger_count double, Airport_fee double") \
+        .write.parquet(a)
+    spark.createDataFrame([(2, 3, 1.25)], "VendorID bigint, passenger_count int, airport_fee double") \
+        .write.parquet(b)
+    df = read_feed(spark, [a + "/*.parquet", b + "/*.parquet"], S.YELLOW_RAW, per_schema_group=True)
+    assert df.schema == S.YELLOW_RAW
+    got = sorted((r.VendorID, r.passenger_count, r.Airport_fee) for r in df.collect())
+    assert got == [(1, 1.0, 2.5), (2, 3.0, 1.25)]
+
+
+def test_date_spine(spark):  # E15
+    d = [r.date_day for r in date_spine(spark, "2023-12-01", "2025-01-01").collect()]
+    assert len(d) == 397 and d[0] == dt.date(2023, 12, 1) and d[-1] == dt.date(2024, 12, 31)

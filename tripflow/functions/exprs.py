@@ -53,7 +53,15 @@ def double_text(c: Column | str) -> Column:
     sci = F.regexp_replace(sci, "E([0-9]{2,})$", "e+$1")
     sci = F.regexp_replace(sci, "E-([0-9])$", "e-0$1")
     sci = F.regexp_replace(sci, "E-([0-9]{2,})$", "e-$1")
-    return (F.when(~s.contains("E"),
+    # Java 17 sometimes prints a 17th digit where 16 round-trip (3.6400538952240912E16):
+    # prefer the 16-digit form whenever it reads back as the same double. Exact for
+    # |x| < 1e16; beyond, a last-digit tie can still differ (JDK 19+ prints shortest).
+    c16 = F.format_string("%.15e", x)
+    c16 = F.concat(F.regexp_replace(F.regexp_extract(c16, r"^(-?[0-9.]+)e", 1), r"\.?0+$", ""),
+                   F.lit("e"), F.regexp_extract(c16, r"e([+-][0-9]+)$", 1))
+    sci = F.when(c16.try_cast("double") == x, c16).otherwise(sci)
+    return (F.when(x.isNull(), F.lit(None).cast("string"))
+            .when(~s.contains("E"),
                    F.when(s == "NaN", F.lit("nan"))
                    .when(s == "Infinity", F.lit("inf"))
                    .when(s == "-Infinity", F.lit("-inf"))

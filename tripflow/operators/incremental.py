@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tripflow.operators.fact import build_fact
 from tripflow.session import scratch_path
-from tripflow.sources.schemas import FACT_COLUMNS, TRIP_KEY
+from tripflow.sources.schemas import FACT, FACT_COLUMNS, TRIP_KEY
 
 PARTITION_COLUMN = "pickup_date"
 
@@ -94,7 +94,8 @@ def upsert_fact_table(spark: SparkSession, path: str, trips: DataFrame, zones: D
         write_fact(build_fact(trips, zones, classes), path)
         return {"mode": "full"}
 
-    target = spark.read.parquet(path)
+    # declared schema: no inference pass, and an empty table still reads
+    target = spark.read.schema(FACT).parquet(path)
     t = target
     if ignore_after is not None:
         t = t.where(F.col("pickup_at") <= F.lit(str(ignore_after)).cast("timestamp_ntz"))
