@@ -37,6 +37,11 @@ DEDUP_ORDER = ["pickup_at", "tip_amount"] + [
 
 def canonical(staged: DataFrame, vehicle_class: str) -> DataFrame:
     """Staged feed -> canonical trip columns, with ``pickup_date``."""
+    return staged.select(*canonical_columns(vehicle_class))
+
+
+def canonical_columns(vehicle_class: str) -> list[Column]:
+    """The canonical trip columns over a staged (or classified) feed of one class."""
     types = {f.name: f.dataType for f in CANONICAL.fields}
     cols: list[Column] = []
     for name in CANONICAL_COLUMNS:
@@ -46,7 +51,7 @@ def canonical(staged: DataFrame, vehicle_class: str) -> DataFrame:
             cols.append(F.lit(None).cast(types[name]).alias(name))
         else:
             cols.append(F.col(name).cast(types[name]).alias(name))
-    return staged.select(*cols)
+    return cols
 
 
 def dedup_order() -> list[Column]:
