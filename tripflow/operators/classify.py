@@ -223,6 +223,24 @@ FLAG_COLUMNS = [
 ]
 
 
+def _memo_columns(fn):
+    """Reuse the (unresolved, immutable) expressions built for one feed schema.
+
+    Building a Column costs a py4j round trip per function call; a feed's
+    staging projection is hundreds of them. The expressions depend only on
+    the raw schema, so they are built once per Spark application and schema.
+    """
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(df: DataFrame, spec: "FeedSpec"):
+        key = (df.sparkSession.sparkContext.applicationId, spec.vehicle_class, df.schema.json())
+        if key not in cache:
+            cache[key] = fn(df, spec)
+        return cache[key]
+    return wrapper
+
+
 def _source_column(df: DataFrame, src: Source, target: T.DataType) -> Column:
     if src is NULL:
         return F.lit(None).cast(target)
@@ -233,17 +251,20 @@ def _source_column(df: DataFrame, src: Source, target: T.DataType) -> Column:
     return src(df).cast(target)
 
 
+@_memo_columns
 def trip_id(df: DataFrame, spec: FeedSpec) -> Column:
     """Surrogate key over the **raw** key columns, before any cast."""
     return surrogate_key([(c, df.schema[c].dataType) for c in spec.key_fields])
 
 
+@_memo_columns
 def staged_columns(df: DataFrame, spec: FeedSpec) -> list[Column]:
     cols = [trip_id(df, spec).alias("trip_id")]
     cols += [_source_column(df, src, t).alias(name) for name, src, t in spec.staged]
     return cols
 
 
+@_memo_columns
 def flag_columns(df: DataFrame, spec: FeedSpec) -> list[Column]:
     pu, do = F.col(spec.pickup), F.col(spec.dropoff)
     pu_ts, do_ts = cast_to(df, spec.pickup, S.TS), cast_to(df, spec.dropoff, S.TS)
@@ -258,6 +279,7 @@ def flag_columns(df: DataFrame, spec: FeedSpec) -> list[Column]:
     ]
 
 
+@_memo_columns
 def valid_predicate(df: DataFrame, spec: FeedSpec) -> Column:
     """The staging filter (B8), on the staged casts. NULL means the row is dropped."""
     return (
@@ -291,10 +313,11 @@ def classify(raw: DataFrame, spec: FeedSpec) -> DataFrame:
     Narrow (no shuffle). Columns a consumer does not use are pruned by Catalyst,
     so the audit never computes the md5 key and staging never computes flags.
     """
-    with_flags = raw.select(
-        *staged_columns(raw, spec),
-        *flag_columns(raw, spec),
-        valid_predicate(raw, spec).alias("valid"),
-        spec.audit_total(raw).alias("audit_total_amount"),
-    )
-    return with_flags.withColumn("rejection_reason", reason_column())
+    return raw.select(*_classified_columns(raw, spec)).withColumn("rejection_reason", reason_column())
+
+
+@_memo_columns
+def _classified_columns(raw: DataFrame, spec: FeedSpec) -> list[Column]:
+    return [*staged_columns(raw, spec), *flag_columns(raw, spec),
+            valid_predicate(raw, spec).alias("valid"),
+            spec.audit_total(raw).alias("audit_total_amount")]
