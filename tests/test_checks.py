@@ -7,7 +7,7 @@ import datetime as dt
 from conftest import SF_SMALL, plan_nodes
 from tripflow.plans import checks as C
 from tripflow.plans import suite as M
-from tripflow.plans.pipeline import build_models
+from tripflow.plans.models import build_models
 from tripflow.sources.fixtures import raw_feeds
 
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 import os
 
 from conftest import SF_SMALL
-from tripflow.plans import pipeline
+from tripflow.plans import models
 from tripflow.sources.fixtures import raw_feeds
 
 
 def test_run_twice_is_idempotent(spark, tmp_path):
     out = str(tmp_path / "warehouse")
     raws = raw_feeds(spark, SF_SMALL)
-    report = pipeline.run(spark, raws, out, as_of="2026-12-03 00:00:00")
+    report = models.run(spark, raws, out, as_of="2026-12-03 00:00:00")
     assert report.count() == 114
     # the fixtures inject orphan zones and out-of-domain codes: error checks must catch them
     failed = {r.check_id for r in report.where("status = 'fail'").collect()}
@@ -22,7 +22,7 @@ def test_run_twice_is_idempotent(spark, tmp_path):
     dates = fact.select("pickup_date").distinct().count()
     assert len([d for d in os.listdir(os.path.join(out, "fct_trips")) if d.startswith("pickup_date=")]) == dates
     # second run: incremental load of the same raw files changes nothing
-    pipeline.run(spark, raws, out, as_of="2026-12-03 00:00:00")
+    models.run(spark, raws, out, as_of="2026-12-03 00:00:00")
     assert spark.read.parquet(os.path.join(out, "fct_trips")).count() == 7123
     audit = spark.read.parquet(os.path.join(out, "stg_trip_reject_audit"))
     assert sorted(r.vehicle_class for r in audit.collect()) == ["green", "hvfhv", "yellow"]

@@ -11,7 +11,7 @@ from conftest import SF_SMALL
 from tripflow.operators import dims
 from tripflow.operators.incremental import incremental_fact, merge_increment, upsert_fact_table
 from tripflow.plans import suite as M
-from tripflow.plans.pipeline import build_models
+from tripflow.plans.models import build_models
 from tripflow.sources import schemas as S
 from tripflow.sources.fixtures import raw_feeds
 

@@ -7,7 +7,7 @@ import datetime as dt
 from conftest import SF_SMALL, plan_nodes, plan_text, raw
 from tripflow.operators import dims, staging, unify
 from tripflow.operators.fact import build_fact
-from tripflow.plans.pipeline import build_models
+from tripflow.plans.models import build_models
 from tripflow.plans import suite as M
 from tripflow.sources.fixtures import raw_feeds
 

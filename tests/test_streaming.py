@@ -5,7 +5,7 @@ from __future__ import annotations
 from conftest import SF_SMALL
 from tripflow.operators import rejects
 from tripflow.plans import suite as M
-from tripflow.plans.pipeline import build_models
+from tripflow.plans.models import build_models
 from tripflow.sources.fixtures import materialize_raw_feeds, raw_feeds
 from tripflow.streaming.delivery import reject_audit_from_counts, start_delivery
 

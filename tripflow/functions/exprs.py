@@ -3,7 +3,7 @@
 Every function here returns a ``Column`` built only from ``pyspark.sql.functions``,
 so it stays inside whole-stage codegen; nothing runs in Python per row.
 
-The reference engine differs from Spark in five places the pipeline depends on:
+The reference engine differs from Spark in five places the trip models depend on:
 
 * double -> text (surrogate keys hash text): shortest digits, exponent form only
   when the decimal exponent is below -4 or at least 16 (``1e+16``, ``5e-05``);

@@ -17,7 +17,7 @@ from tripflow.operators.fact import build_fact
 from tripflow.operators.incremental import incremental_fact
 from tripflow.plans import checks as C
 from tripflow.plans import suite as M
-from tripflow.plans.pipeline import AUDIT, build_models
+from tripflow.plans.models import AUDIT, build_models
 from tripflow.sources.fixtures import raw_feeds
 
 # Fixed parameters of the registered queries (the oracle uses the same ones).

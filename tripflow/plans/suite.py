@@ -1,6 +1,6 @@
-"""The check suite of the pipeline's tables, as data: 112 column checks + 2 singular.
+"""The check suite of the model tables, as data: 112 column checks + 2 singular.
 
-Table names are the model names of the pipeline; ``tables`` dicts passed to
+Table names are the model names of ``plans.models``; ``tables`` dicts passed to
 ``run_checks`` use the same names.
 """
 

@@ -3,7 +3,7 @@
 The test data has no trip tables. These SQL templates derive the four raw
 feeds (yellow, green, ride-hail, zone lookup) from ``lineitem``,
 ``orders``+``customer``, ``events`` and ``nation``+``region``, injecting every
-defect the pipeline must handle (NULL drop-off, NULL fare, NULL zones,
+defect the rules must handle (NULL drop-off, NULL fare, NULL zones,
 negative amounts, zero distance, half passenger counts, wrong totals, future
 trips, re-delivered rows). The same text runs in Spark and in DuckDB; only
 the timestamp literal keyword differs. Engine code never depends on this
