@@ -153,6 +153,21 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
 
 
+def _source_fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Folder name for the derived feeds: source path plus each table's size and mtime,
+    so changed source tables never reuse stale derived files."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    parts = [sf_dir]
+    for t in SOURCE_TABLES:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            summary = fs.getContentSummary(path)
+            parts.append(f"{t}:{summary.getLength()}:{fs.getFileStatus(path).getModificationTime()}")
+    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+
+
 def materialize_raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Write the derived feeds once, as a real deployment receives them.
 
@@ -160,8 +175,7 @@ def materialize_raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     header, under the session's checkpoint folder; a feed already written
     (``_SUCCESS`` present) is reused. Returns feed -> path.
     """
-    base = os.path.join(_work_dir(spark), "tripflow-raw",
-                        hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:16])
+    base = os.path.join(_work_dir(spark), "tripflow-raw", _source_fingerprint(spark, sf_dir))
     tables = None
     paths = {}
     for feed in FEED_SQL:
