@@ -139,10 +139,16 @@ def derived_raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _work_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; test sessions without one get a private folder."""
+    """The session's checkpoint folder.
+
+    Only a local-mode session without one (tests, single-machine checks) gets a
+    private temporary folder; on a cluster the shared ``spark.checkpoint.dir``
+    is required, since executors cannot see the driver's disk.
+    """
     sc = spark.sparkContext
-    if not (sc.getCheckpointDir() or sc.getConf().get(CHECKPOINT_CONF, None)
-            or spark.conf.get(CHECKPOINT_CONF, None)):
+    unset = not (sc.getCheckpointDir() or sc.getConf().get(CHECKPOINT_CONF, None)
+                 or spark.conf.get(CHECKPOINT_CONF, None))
+    if unset and sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tripflow-ckpt-"))
     return checkpoint_dir(spark)
 
