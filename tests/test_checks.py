@@ -86,3 +86,10 @@ def test_one_job_per_table(spark):
     m = build_models(spark, raw_feeds(spark, SF_SMALL))
     checks = [c for c in M.full_suite() if c.model == M.STG_YELLOW]
     assert plan_nodes(C.run_checks(spark, m, checks), "Scan parquet") == 1
+
+
+def test_tuple_text_is_injective(spark):
+    rows = [("a", None), (None, "a"), ("a", ""), ("", "a"), (None, None), (None, None), ("1:a", None), ("1", ":a")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    texts = [r[0] for r in df.select(C._tuple_text(["x", "y"])).collect()]
+    assert len(set(texts)) == len(rows) - 1          # only the two (NULL, NULL) rows collide

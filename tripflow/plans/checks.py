@@ -170,12 +170,24 @@ COLUMN_KINDS = ("not_null", "unique", "accepted_values", "relationships", "uniqu
                 "within_percentage", "singular")
 
 
+def _tuple_text(cols: Sequence[str]) -> Column:
+    """Injective text of a column tuple: each part length-prefixed, NULL as '~'.
+
+    NULLs of the same column compare equal, as in a GROUP BY over the columns.
+    """
+    parts = []
+    for name in cols:
+        s = F.col(name).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(s).cast("string"), F.lit(":"), s), F.lit("~")))
+    return F.concat(*parts)
+
+
 def _emit(c: Check, idx: int) -> Column:
     """The ``(check index, key)`` pair one row contributes to check ``c`` (or NULL)."""
     def tag(k: Column) -> Column:
         return F.struct(F.lit(idx).alias("i"), k.cast("string").alias("k"))
     if c.kind == "unique_combination":
-        return tag(F.to_json(F.struct(*[F.col(x) for x in c.columns])))
+        return tag(_tuple_text(c.columns))
     if c.kind in ("within_percentage", "singular"):
         return F.when(_row_predicate(c), tag(F.lit(None)))
     col = F.col(c.columns[0])
