@@ -26,3 +26,15 @@ def test_run_twice_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(os.path.join(out, "fct_trips")).count() == 7123
     audit = spark.read.parquet(os.path.join(out, "stg_trip_reject_audit"))
     assert sorted(r.vehicle_class for r in audit.collect()) == ["green", "hvfhv", "yellow"]
+
+
+def test_command_line_build_and_check(spark, tmp_path):
+    from tripflow.__main__ import main
+    from tripflow.sources.fixtures import materialize_raw_feeds
+    p = materialize_raw_feeds(spark, SF_SMALL)
+    args = ["--yellow", p["yellow"], "--green", p["green"], "--hvfhv", p["hvfhv"], "--zones", p["zone"],
+            "--out", str(tmp_path / "cli"), "--as-of", "2026-12-03 00:00:00"]
+    code = main(["build", *args])
+    assert code in (0, 1)
+    assert spark.read.parquet(str(tmp_path / "cli" / "fct_trips")).count() == 7123
+    assert main(["check", *args]) == code
