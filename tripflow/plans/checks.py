@@ -160,10 +160,28 @@ def _row_predicate(c: Check) -> Column:
 
 # ---- the suite runner ----
 
-def _count(df: DataFrame, check_id: str, rows_col: str | None = None) -> DataFrame:
-    agg = F.sum(rows_col) if rows_col else F.count(F.lit(1))
-    return df.agg(F.coalesce(agg, F.lit(0)).cast("bigint").alias("failures")) \
-             .select(F.lit(check_id).alias("check_id"), "failures")
+def failing_rows(tables: Mapping[str, DataFrame], c: Check) -> DataFrame:
+    """The rows check ``c`` returns, one query per check (for inspection).
+
+    ``run_checks`` computes the same failure counts fused per table; this is the
+    straightforward form: rows for not_null, relationships (with ``_rows`` per
+    orphan key) and singular checks, one row per offending value or key otherwise.
+    """
+    t = tables[c.model]
+    if c.kind == "not_null":
+        return not_null_failures(t, c.columns[0])
+    if c.kind == "unique":
+        return unique_failures(t, c.columns[0])
+    if c.kind == "accepted_values":
+        return accepted_values_failures(t, c.columns[0], c.values)
+    if c.kind == "relationships":
+        return relationships_failures(t, c.columns[0], tables[c.to], c.field)
+    if c.kind == "unique_combination":
+        return unique_combination_failures(t, c.columns)
+    if c.kind == "within_percentage":
+        return within_percentage_failures(t, c.columns[0], c.params["compare_column"],
+                                          c.params.get("threshold_pct", 10))
+    return SINGULAR[c.params["test"]](t, c.params)
 
 
 COLUMN_KINDS = ("not_null", "unique", "accepted_values", "relationships", "unique_combination",

@@ -29,18 +29,10 @@ from tripflow.operators.fact import build_fact
 from tripflow.operators.incremental import upsert_fact_table
 from tripflow.plans import suite as M
 from tripflow.plans.checks import run_checks
-from tripflow.session import scratch_path
 
 AUDIT = "stg_trip_reject_audit"
 
 
-def write_and_read(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back."""
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 class Models(Mapping):
     """The model graph as a lazy mapping: a model is built on first access.
 
@@ -73,18 +65,6 @@ class Models(Mapping):
             self._cache[name] = self._builders[name]()
         return self._cache[name]
 
-    def materialized(self, names: list[str]) -> "Models":
-        """A copy in which ``names`` are written once to the checkpoint folder.
-
-        Checks read each model several times (null, domain, key and orphan
-        groups); a written table is computed once and cuts the lineage, so a
-        lost executor re-reads files instead of re-running the dedup.
-        """
-        out = Models(self._spark, self._raws, self._cache)
-        for n in sorted(names, key=list(self._builders).index):   # dependencies first
-            out._cache[n] = write_and_read(self._spark, out[n], n)
-        return out
-
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)
 
