@@ -73,3 +73,20 @@ def test_dimension_over_bound_is_not_broadcast(spark):
         assert plan_nodes(fact.join(sized_broadcast(dim, 10), "k"), "BroadcastHashJoin") == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_hot_value_in_checks_collapses_before_shuffle(spark):
+    """A value holding a third of all rows: the fused check job shuffles per-task partials only."""
+    from tripflow.plans import checks as C
+    n, parts = 30_000, 8
+    t = spark.range(0, n, numPartitions=parts).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.lit("x")).alias("v"))
+    checks = [C.Check("uq", "unique", "t", ("k",)), C.Check("nn", "not_null", "t", ("v",))]
+    rep = {r.check_id: r.failures for r in C.run_checks(spark, {"t": t}, checks).collect()}
+    assert rep == {"uq": 1, "nn": n // 3}
+    job = C.check_failures({"t": t}, checks)
+    job.collect()
+    written = _exchange_records(job)
+    # distinct keys once, the hot key and the NULL group at most once per task each
+    assert written and max(written) <= (n - n // 3) + 2 * parts
