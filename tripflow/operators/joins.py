@@ -1,8 +1,9 @@
 """Join helpers: broadcast only behind a size check, anti joins that ignore NULL keys.
 
 A dimension is broadcast only after a bounded count proves it small
-(``limit(max_rows + 1).count()`` never scans more than ``max_rows + 1`` rows
-past the first partitions). Beyond the bound the join is left to Spark:
+(``limit(max_rows + 1).count()``: every task stops after ``max_rows + 1``
+rows, so the proof costs at most that per task, whatever the table size).
+Beyond the bound the join is left to Spark:
 sort-merge with AQE, which may still switch to broadcast at runtime from the
 real shuffle statistics. Literal relations (``VALUES``) have a size fixed in
 code and are broadcast directly.
@@ -19,7 +20,7 @@ DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
+    """True when ``df`` has at most ``max_rows`` rows (each task reads at most max_rows+1)."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import functools
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,10 +62,13 @@ def read_feed(spark: SparkSession, paths: str | Sequence[str], schema: T.StructT
     paths = _as_list(paths)
     if not per_schema_group:
         return spark.read.schema(schema).parquet(*paths)
-    files = spark.read.parquet(*paths).inputFiles()
+    files = sorted(spark.read.parquet(*paths).inputFiles())
+    # footer reads are I/O bound: overlap them (metadata only, never rows)
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema.simpleString(), files))
     groups: dict[str, list[str]] = defaultdict(list)
-    for f in sorted(files):
-        groups[spark.read.parquet(f).schema.simpleString()].append(f)
+    for f, sch in zip(files, schemas):
+        groups[sch].append(f)
     parts = [conform(spark.read.parquet(*fs), schema) for fs in groups.values()]
     if not parts:
         return spark.createDataFrame([], schema)
