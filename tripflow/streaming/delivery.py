@@ -67,11 +67,17 @@ class TripSink:
         return os.path.join(self.out_dir, name)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        # the micro-batch feeds three writes (anomalies, audit, trips): cache it for the
+        # duration of the batch; its lineage is one replayable file read, so a lost
+        # executor only re-reads those files
+        b = batch.persist()
+        try:
+            self._merge(b, batch_id)
+        finally:
+            b.unpersist()
+
+    def _merge(self, b: DataFrame, batch_id: int) -> None:
         spark = self.spark
-        # the micro-batch is read three times (anomalies, audit, trips): stage it once
-        staged_path = scratch_path(spark, f"microbatch-{batch_id}")
-        batch.write.parquet(staged_path)
-        b = spark.read.parquet(staged_path)
 
         anomalies = b.where(any_flag()).select(
             "vehicle_class", "vendor_id", "pickup_at", "dropoff_at", "pickup_zone_id",
