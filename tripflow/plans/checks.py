@@ -317,6 +317,7 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Seq
         [(c.check_id, c.kind, c.model, c.column, c.severity) for c in checks],
         "check_id string, check_kind string, model string, column_name string, severity string")
     fails = check_failures(tables, checks)
+    # at most one row per check in the suite (a size fixed by the suite, not the data)
     rep = meta.join(F.broadcast(fails), "check_id", "left").withColumn(
         "failures", F.coalesce(F.col("failures"), F.lit(0)).cast("bigint"))
     status = (F.when(F.col("failures") == 0, F.lit("pass"))
