@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -174,6 +175,9 @@ def _source_fingerprint(spark: SparkSession, sf_dir: str) -> str:
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
+_MATERIALIZE_LOCK = threading.Lock()
+
+
 def materialize_raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Write the derived feeds once, as a real deployment receives them.
 
@@ -181,6 +185,11 @@ def materialize_raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     header, under the session's checkpoint folder; a feed already written
     (``_SUCCESS`` present) is reused. Returns feed -> path.
     """
+    with _MATERIALIZE_LOCK:   # queries may be called from several threads of one session
+        return _materialize(spark, sf_dir)
+
+
+def _materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     base = os.path.join(_work_dir(spark), "tripflow-raw", _source_fingerprint(spark, sf_dir))
     tables = None
     paths = {}
