@@ -30,9 +30,12 @@ def _raws(spark: SparkSession, a: argparse.Namespace):
 def _tables(spark: SparkSession, a: argparse.Namespace):
     from tripflow.plans import suite as M
     from tripflow.plans.models import AUDIT, Models
+    from tripflow.sources.schemas import CANONICAL, CANONICAL_COLUMNS, FACT, FACT_COLUMNS
     written = {n: spark.read.parquet(os.path.join(a.out, n)) for n in (
-        M.UNIFIED, M.ANOMALIES, AUDIT, M.STG_ZONES, M.DIM_ZONES, M.DIM_DATE, M.DIM_CLASS,
-        M.DIM_PAYMENT, M.FACT)}
+        M.ANOMALIES, AUDIT, M.STG_ZONES, M.DIM_ZONES, M.DIM_DATE, M.DIM_CLASS, M.DIM_PAYMENT)}
+    written[M.UNIFIED] = spark.read.schema(CANONICAL).parquet(
+        os.path.join(a.out, M.UNIFIED)).select(*CANONICAL_COLUMNS)
+    written[M.FACT] = spark.read.schema(FACT).parquet(os.path.join(a.out, M.FACT)).select(*FACT_COLUMNS)
     return Models(spark, _raws(spark, a), written)
 
 
