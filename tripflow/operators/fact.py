@@ -38,8 +38,8 @@ def build_fact(trips: DataFrame, zones: DataFrame, classes: DataFrame,
     """Unified trips -> fact rows, in the fact column order.
 
     ``broadcast_dims=None`` broadcasts each dimension only if it is proven
-    small (see ``joins.sized_broadcast``); ``True`` forces broadcast (literal
-    dimensions), ``False`` leaves the strategy to Spark.
+    small (see ``joins.sized_broadcast``); ``True`` forces broadcast (for
+    dimensions whose size the caller bounds), ``False`` leaves it to Spark.
     """
     def dim(df: DataFrame) -> DataFrame:
         if broadcast_dims is None:
@@ -53,9 +53,9 @@ def build_fact(trips: DataFrame, zones: DataFrame, classes: DataFrame,
     dz = z.select(F.col("location_id").alias("_dz_id"),
                   F.col("zone_name").alias("dropoff_zone_name"),
                   F.col("borough").alias("dropoff_borough"))
-    vc = F.broadcast(classes.select(F.col("vehicle_class").alias("_vc"),
-                                    F.col("display_name").alias("vehicle_display_name"),
-                                    "is_rideshare"))
+    vc = dim(classes.select(F.col("vehicle_class").alias("_vc"),
+                            F.col("display_name").alias("vehicle_display_name"),
+                            "is_rideshare"))
 
     joined = (trips
               .join(pz, F.col("pickup_zone_id") == F.col("_pz_id"), "left")
