@@ -58,6 +58,22 @@ from dw left join hw on dw.r = hw.r left join hi on dw.r = hi.r
 """
 
 
+_TOPK = """
+with v as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as x
+  from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select q.r, q.vec_id as query_id, c.vec_id, list_inner_product(q.x, c.x)::bigint as score, c.r as cr
+  from v q join v c on q.r <> c.r where q.vec_id % 20 = 0
+), t as (
+  select *, row_number() over (partition by r order by score desc, vec_id, cr) as rank from s
+)
+select query_id, rank::integer as rank, vec_id, score from t where rank <= 20
+"""
+
+
 def _sharding(limit: int, bits: int = 52, depth: int = 30) -> str:
     """Extendible hashing as one statement; right while no two keys agree in ``depth`` bits."""
     return f"""
@@ -83,5 +99,5 @@ from pre join best on pre.h = best.h and pre.depth = best.depth join sums on pre
 
 def oracle_sql() -> dict[str, str]:
     from tripflow.llm import sharding
-    return {"op1_warc": _WARC, "op8_decontamination": _DECONTAMINATION,
+    return {"op1_warc": _WARC, "op5_topk": _TOPK, "op8_decontamination": _DECONTAMINATION,
             "op10_sharding": _sharding(sharding.SHARD_BYTES)}

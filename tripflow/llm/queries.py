@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import mixing, sharding, warc, wumanber
+from tripflow.llm import minhash, mixing, quality, sharding, topk, toxicity, warc, wumanber
 from tripflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,11 +17,29 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents", "doc_id", "text"),
+                             table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_classes(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source")).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents", "doc_id", "text"),
+                            table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wumanber.find_benchmark(table(spark, sf_dir, "documents", "doc_id", "text"),
                                    table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -32,7 +50,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_warc, op6_mixing, op8_decontamination, op10_sharding)}
+    return {f.__name__: f for f in (op1_warc, op2_toxicity, op3_minhash, op5_topk, op6_mixing, op7_quality,
+                                   op8_decontamination, op10_sharding)}
 
 
 def oracles() -> dict[str, str]:

@@ -24,6 +24,7 @@ import gzip
 import hashlib
 import io
 import json
+import math
 import os
 import uuid
 from collections.abc import Iterator
@@ -43,8 +44,9 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
 RECORD_DATE = "2024-01-01T00:00:00Z"
 
-PACKAGE_BYTES = 64 << 20  # a package is closed when its records reach this many bytes
-READ_BYTES = 8 << 20      # records of up to this many bytes are read as one unit of work
+PACKAGE_BYTES = 32 << 20  # a package is closed when its records reach this many bytes
+READ_BYTES = 4 << 20      # records of up to this many bytes are read as one unit of work
+READ_TASKS = 20_000       # tasks of a read, at most; each reads its units one after the other
 
 MANIFEST = "path string, bytes long, records long"
 RECORD = ("page_id {id}, url string, record_type string, payload_bytes long, payload_digest string, "
@@ -187,9 +189,12 @@ def _locator(read_bytes: int):
     return run
 
 
-def read_records(ranges: DataFrame, id_type: str = "long", payloads: bool = True) -> DataFrame:
-    """Range-read the records: one row each. ``payload`` is null for revisits, or if not wanted."""
-    spread = ranges.repartition(F.col("path"), F.col("start"))
+def read_records(ranges: DataFrame, id_type: str = "long", payloads: bool = True, tasks: int = 1) -> DataFrame:
+    """Range-read the records: one row each. ``payload`` is null for revisits, or if not wanted.
+
+    ``tasks`` is stated by the caller, as a range's row does not tell Spark how much it stands for.
+    """
+    spread = ranges.repartition(tasks, F.col("path"), F.col("start"))
     wide = spread.mapInArrow(_reader(payloads), RECORD.format(id="string"))
     return wide.withColumn("page_id", F.col("page_id").cast(id_type)).withColumn(
         "refers_to", F.col("refers_to").cast(id_type))
@@ -266,4 +271,6 @@ def round_trip(pages: DataFrame, min_bytes: int = 0, folder: str | None = None,
     kept = os.path.join(folder, "manifest")
     manifest.write.parquet(kept)
     found = spark.read.schema(MANIFEST).parquet(kept)
-    return read_records(locate(found), dict(pages.dtypes)["page_id"], payloads)
+    size = found.agg(F.sum("bytes")).first()[0] or 0
+    tasks = max(1, min(READ_TASKS, math.ceil(size / READ_BYTES)))
+    return read_records(locate(found), dict(pages.dtypes)["page_id"], payloads, tasks)
