@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import minhash, mixing, quality, sharding, topk, toxicity, warc, wumanber
+from tripflow.llm import linededup, minhash, mixing, pii, quality, sharding, topk, toxicity, warc, wumanber
 from tripflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_classes(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summary(pii.spans(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
@@ -45,13 +49,17 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op9_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.drop_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), stable=True)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_warc, op2_toxicity, op3_minhash, op5_topk, op6_mixing, op7_quality,
-                                   op8_decontamination, op10_sharding)}
+    return {f.__name__: f for f in (op1_warc, op2_toxicity, op3_minhash, op4_pii, op5_topk, op6_mixing,
+                                   op7_quality, op8_decontamination, op9_linededup, op10_sharding)}
 
 
 def oracles() -> dict[str, str]:
