@@ -127,11 +127,11 @@ def _pair(k: int):
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
         out: list[list] = [[], [], [], [], []]
         if queries.num_rows and candidates.num_rows:
-            candidates = candidates.sort_by([("vec_id", "ascending"), ("row", "ascending")])
-            width = max(max(pa.compute.max(pa.compute.list_value_length(t.column("x"))).as_py() for t in (queries, candidates)), 1)
-            rows, ids = candidates.column("row").to_numpy(), candidates.column("vec_id").to_numpy()
+            candidates = candidates.sort_by([("c_id", "ascending"), ("c_row", "ascending")])
+            width = max(max(pa.compute.max(pa.compute.list_value_length(c)).as_py() for c in (queries.column("x"), candidates.column("c_x"))), 1)
+            rows, ids = candidates.column("c_row").to_numpy(), candidates.column("c_id").to_numpy()
             own = queries.column("row").to_numpy()
-            score, place = search(_matrix(queries.column("x"), width), own, _matrix(candidates.column("x"), width), rows, k)
+            score, place = search(_matrix(queries.column("x"), width), own, _matrix(candidates.column("c_x"), width), rows, k)
             q, j = np.nonzero(place >= 0)
             at = place[q, j]
             out = [own[q], queries.column("vec_id").to_numpy()[q], [max(-LONG, min(LONG, int(s))) for s in score[q, j]], ids[at], rows[at]]
@@ -156,7 +156,9 @@ def top_k(vectors: DataFrame, k: int = K, query_every: int = QUERY_EVERY, scale:
     own_q = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(q_blocks)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     left = asks.withColumn("qb", own_q).withColumn("cb", every(n_blocks)).groupBy("qb", "cb")
-    right = rows.withColumn("cb", own).withColumn("qb", every(q_blocks)).groupBy("qb", "cb")
+    # columns of their own: both sides come from one table
+    right = rows.select(F.col("row").alias("c_row"), F.col("vec_id").alias("c_id"), F.col("x").alias("c_x"),
+                        own.alias("c_block")).withColumn("q_block", every(q_blocks)).groupBy("q_block", "c_block")
     found = left.cogroup(right).applyInArrow(
         _pair(k), "query_row long, query_id long, score long, vec_id long, vec_row long")
     order = W.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "vec_row")
