@@ -149,7 +149,7 @@ def voted(found: DataFrame) -> DataFrame:
     base, broad = F.col("base"), ~F.col("base")
     # leading zeros do not make a part larger
     parts_ok = ~F.exists(F.split("match", r"\."), lambda x: F.length(F.ltrim(x, F.lit("0"))) > 3) & ~F.exists(
-        F.split("match", r"\."), lambda x: F.left(F.ltrim(x, F.lit("0")), F.lit(3)).try_cast("int") > IP_PART)
+        F.split("match", r"\."), lambda x: F.coalesce(F.left(F.ltrim(x, F.lit("0")), F.lit(3)).try_cast("int"), F.lit(0)) > IP_PART)
     luhn = F.when(F.col("n").between(12, CARD_DIGITS[1]), _luhn(F.col("digits"))).otherwise(False)
     sound = _by_kind({
         "email": F.lit(True),
