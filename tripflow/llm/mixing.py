@@ -100,10 +100,12 @@ def targets(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int
 
 
 def rank() -> Column:
-    """Pareto rank: random odds over inclusion odds; 0 where inclusion is certain."""
+    """Pareto rank: random odds over inclusion odds; least where inclusion is certain, infinite
+    where nothing is to be sampled."""
     p = F.col("unit") * F.col("size")
     odds = F.col("u") / (F.lit(1.0) - F.col("u"))
-    return F.when(p >= 1.0, F.lit(0.0) + F.col("u") / F.lit(1e18)).otherwise(odds / (p / (F.lit(1.0) - p)))
+    return (F.when(p <= 0.0, F.lit(float("inf"))).when(p >= 1.0, F.col("u") / F.lit(1e18))
+            .otherwise(odds / (p / (F.lit(1.0) - p))))
 
 
 def _cell(cells: int) -> Column:
