@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import base64
+import hashlib
+import io
+import zipfile
+
+import pytest
+
+from tripflow.llm import warc, zipstore
+
+
+def expected(rows, min_bytes=0):
+    groups, out = {}, []
+    for i, u, h in rows:
+        groups.setdefault((h or "").encode(), []).append((i, u))
+    for data, members in groups.items():
+        members.sort(key=lambda m: (m[0] is None, m[0] or 0, m[1] is None, m[1] or ""))
+        for k, (i, u) in enumerate(members):
+            revisit = k > 0 and len(data) >= min_bytes
+            out.append((i, u, "revisit" if revisit else "response", len(data),
+                        base64.b32encode(hashlib.sha1(data).digest()).decode(), members[0][0] if revisit else None))
+    return sorted(out, key=str)
+
+
+PAGES = [(1, "http://a/1", "<html>é</html>"), (2, "http://a/2", "<html>é</html>"), (3, None, None), (4, "u r%l\r\n", ""),
+         (5, "http://a/5", "x" * 300000), (5, "http://a/5", "x" * 300000), (None, "http://a/n", "only"), (None, None, "q"),
+         (7, "http://a/7", "q"), (7, "http://a/6", "q"), (8, "http://a/8", "\r\n\r\nWARC/1.1\r\n")]
+
+
+@pytest.mark.parametrize("zip64", [False, True])
+@pytest.mark.parametrize("min_bytes", [0, 2, 1000])
+def test_round_trip(spark, zip64, min_bytes):
+    pages = spark.createDataFrame([(*p, "x", "y") for p in PAGES],
+                                  "page_id long, url string, html string, sha1 string, size string").repartition(2)
+    got = warc.round_trip(pages, min_bytes=min_bytes, zip64=zip64, payloads=True).collect()
+    assert sorted(((r.page_id, r.url, r.record_type, r.payload_bytes, r.payload_digest, r.refers_to) for r in got),
+                  key=str) == expected(PAGES, min_bytes)
+    by_text = {(p[2] or "").encode() for p in PAGES}
+    assert {bytes(r.payload) for r in got if r.record_type == "response"} == by_text
+    assert all(r.payload is None for r in got if r.record_type == "revisit")
+
+
+def test_empty_table(spark):
+    assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_packages_are_read_by_ranges_and_by_other_zip_readers(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"u{i}", f"page {i} " * 50) for i in range(40)], "page_id long, url string, html string")
+    folder = f"file://{tmp_path}"
+    manifest = warc.write_packages(warc.record_plan(pages), folder, package_bytes=800).collect()
+    assert sum(m.records for m in manifest) == 40 and len(manifest) > 4
+    ranges = warc.locate(spark.createDataFrame(manifest), read_bytes=300)
+    assert ranges.count() > len(manifest)
+    assert warc.read_records(ranges).count() == 40
+    with zipfile.ZipFile(manifest[0].path.removeprefix("file://")) as z:
+        assert z.testzip() is None and sorted(z.namelist()) == [warc.WARC_MEMBER, warc.INDEX_MEMBER]
+
+
+def test_directories_of_other_writers():
+    # written by the standard library, with a comment and a forced ZIP64 member
+    f = io.BytesIO()
+    with zipfile.ZipFile(f, "w", zipfile.ZIP_STORED) as z:
+        with z.open("a", "w", force_zip64=True) as m:
+            m.write(b"first")
+        z.writestr("b", b"second")
+        z.comment = b"PK\x05\x06 not the end"
+    found = zipstore.members(f, len(f.getvalue()))
+    assert [zipstore.read_at(f, *zipstore.data_range(f, m)) for m in found] == [b"first", b"second"]
+    with zipfile.ZipFile(f, "a", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("c", b"third" * 100)
+    packed = next(m for m in zipstore.members(f, len(f.getvalue())) if m.name == "c")
+    with pytest.raises(zipstore.BadPackage):
+        zipstore.data_range(f, packed)
+    with pytest.raises(zipstore.BadPackage):
+        zipstore.members(io.BytesIO(b"no zip at all"), 13)
+
+
+def test_zip64_fields_written_by_us_are_read_by_the_standard_library():
+    f = io.BytesIO()
+    p = zipstore.Packager(f, zip64=True)
+    p.add("x", [b"ab", b"cd"])
+    p.close()
+    with zipfile.ZipFile(f) as z:
+        assert z.read("x") == b"abcd"

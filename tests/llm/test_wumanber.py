@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+from tripflow.llm import wumanber as M
+from .helpers import awkward, empty
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(t):
+    return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+
+
+def brute(docs, items, window=10):
+    pats = {}
+    for i, t in items:
+        w = words(t)
+        n = min(window, len(w))
+        for k in range(len(w) - n + 1 if n else 0):
+            pats.setdefault(tuple(w[k:k + n]), set()).add(i)
+    out = []
+    for d, t in docs:
+        w, hit, ids = words(t), set(), set()
+        for n in {len(p) for p in pats}:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k:k + n]) in pats:
+                    hit |= set(range(k, k + n))
+                    ids |= {str(i) for i in pats[tuple(w[k:k + n])] if i is not None}
+        digest = hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+        out.append((d, len(w), len(hit), len(ids), digest, bool(hit)))
+    return sorted(out, key=str)
+
+
+def random_case(seed):
+    r = random.Random(seed)
+    vocab = ["a", "b", "cé", "D", "e1", "ß", "F-g"]
+    text = lambda n: r.choice([" ", ", ", "\n"]).join(r.choice(vocab) for _ in range(n))
+    items = [(k, text(r.choice([0, 1, 2, 3, 5, 9, 10, 11, 14]))) for k in range(12)] + [(3, text(12)), (None, text(4)), (77, None)]
+    docs = [(k, text(r.randrange(0, 60))) for k in range(30)]
+    docs += [(100 + k, f"{text(5)} {t} {text(3)}") for k, (_, t) in enumerate(items) if t]
+    return docs + docs[:3] + [(None, None)], items
+
+
+def test_equals_brute_force_in_one_and_in_many_tables(spark):
+    for seed in range(3):
+        docs, items = random_case(seed)
+        d = spark.createDataFrame(docs, "doc_id long, text string")
+        b = spark.createDataFrame(items, "item_id long, text string")
+        want = brute(docs, items)
+        for size in (M.TABLE_BYTES, 60):
+            got = sorted((tuple(r) for r in M.find_benchmark(d, b, table_bytes=size).collect()), key=str)
+            assert got == want
+            left = sorted((tuple(r) for r in M.drop_contaminated(d, b, table_bytes=size).collect()), key=str)
+            clean = {w[0] for w in want if not w[-1]}
+            assert left == sorted((x for x in docs if x[0] in clean), key=str)
+
+
+def test_awkward_rows_and_empty_tables(spark):
+    docs = awkward(spark)
+    bench = spark.createDataFrame([(1, "one two three", 5)], "item_id long, text string, doc_id long")
+    got = M.find_benchmark(docs, bench).collect()
+    assert len(got) == docs.count()
+    assert sorted(r.doc_id for r in got if r.contaminated) == [4, 5, 5]
+    assert M.drop_contaminated(docs, bench).count() == docs.count() - 3
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert M.find_benchmark(docs, none).where("contaminated").count() == 0
+    assert M.find_benchmark(empty(spark), bench).count() == 0

@@ -21,6 +21,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tripflow.llm.common import hash52, identity, utf8, written
 
@@ -35,9 +36,9 @@ def _bits(h: Column) -> Column:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, bytes and key of each document; the text stays behind."""
+    """doc_id, bytes, identity and key of each document; the text stays behind."""
     return docs.select(
-        "doc_id", F.octet_length(utf8("text")).cast("long").alias("n_bytes"),
+        "doc_id", *[c.alias(n) for c, n in zip(identity(), ("id1", "id2"), strict=True)], F.octet_length(utf8("text")).cast("long").alias("n_bytes"),
         F.concat(_bits(hash52(*identity())),
                  _bits(hash52(F.lit("row"), F.monotonically_increasing_id().cast("string")))).alias("key"))
 
@@ -77,25 +78,35 @@ def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
 
     ``shard`` is the bit prefix, or ``L`` and the whole key for a document beyond the limit.
     """
+    return _placed(docs, limit).drop("id1", "id2")
+
+
+def _placed(docs: DataFrame, limit: int) -> DataFrame:
     rows = written(keyed(docs), "shard-keys")
     small, large = rows.where(F.col("n_bytes") <= limit), rows.where(F.col("n_bytes") > limit)
     cells, widths = directory(small, limit)
     # a document has one cell of each width, and exactly one of them is in the directory
     at = F.explode(F.array(*[F.substring("key", 1, w) for w in widths]))
-    placed = small.select("doc_id", "n_bytes", at.alias("cell")).join(cells, "cell").select(
-        "doc_id", "n_bytes", "shard", F.length("shard").alias("depth"), "shard_bytes", F.lit(True).alias("fits"))
-    alone = large.select("doc_id", "n_bytes", F.concat(F.lit("L"), "key").alias("shard"),
+    placed = small.select("doc_id", "id1", "id2", "n_bytes", at.alias("cell")).join(cells, "cell").select(
+        "doc_id", "id1", "id2", "n_bytes", "shard", F.length("shard").alias("depth"), "shard_bytes", F.lit(True).alias("fits"))
+    alone = large.select("doc_id", "id1", "id2", "n_bytes", F.concat(F.lit("L"), "key").alias("shard"),
                          F.lit(2 * BITS).alias("depth"), F.col("n_bytes").alias("shard_bytes"),
                          F.lit(False).alias("fits"))
     return placed.unionByName(alone)
 
 
 def write_shards(docs: DataFrame, folder: str, limit: int = SHARD_BYTES) -> DataFrame:
-    """Write the documents as Parquet, one folder ``shard=<prefix>`` for each shard; the assignment.
+    """Write the documents as Parquet, one folder ``shard=s<prefix>`` for each shard; the assignment.
 
-    ``docs`` must keep its rows' order between reads, as a written table does, where rows repeat.
+    Documents are told apart by id and text. Rows that repeat in both are dealt to the places that
+    they were assigned, in any order.
     """
-    placed = written(assign_shards(docs, limit), "shards")
-    keys = placed.select("doc_id", "shard").distinct()
-    docs.join(keys, "doc_id").write.partitionBy("shard").parquet(folder)
-    return placed
+    placed = written(_placed(docs, limit), "shards")
+    at = lambda *order: F.row_number().over(W.partitionBy("id1", "id2").orderBy(*order))
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
+    left = docs.select(own, *[c.alias(n) for c, n in zip(identity(), ("id1", "id2"), strict=True)])
+    left = left.withColumn("at", at(F.monotonically_increasing_id()))
+    right = placed.select("id1", "id2", "shard").withColumn("at", at("shard"))
+    left.join(right, ["id1", "id2", "at"]).select(
+        F.concat(F.lit("s"), "shard").alias("shard"), "own").write.partitionBy("shard").parquet(folder)
+    return placed.drop("id1", "id2")
