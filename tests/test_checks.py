@@ -81,18 +81,20 @@ def test_fixture_report(spark):
     assert status.passed + status.warned + status.failed == 114
 
 
-def test_one_job_per_table(spark):
-    """All checks of a table share one scan: the report plan scans each raw feed a bounded number of times."""
+def test_scans_per_table_are_bounded(spark):
+    """Row checks of a table share one scan, domain checks another, each key check has its own."""
     m = build_models(spark, raw_feeds(spark, SF_SMALL))
     checks = [c for c in M.full_suite() if c.model == M.STG_YELLOW]
-    assert plan_nodes(C.run_checks(spark, m, checks), "Scan parquet") == 1
+    keys = sum(c.kind in ("unique", "unique_combination") for c in checks)
+    assert len(checks) > 10
+    assert plan_nodes(C.run_checks(spark, m, checks), "Scan parquet") <= 2 + keys
 
 
-def test_tuple_text_is_injective(spark):
+def test_combinations_group_nulls_and_do_not_mix_columns(spark):
     rows = [("a", None), (None, "a"), ("a", ""), ("", "a"), (None, None), (None, None), ("1:a", None), ("1", ":a")]
     df = spark.createDataFrame(rows, "x string, y string")
-    texts = [r[0] for r in df.select(C._tuple_text(["x", "y"])).collect()]
-    assert len(set(texts)) == len(rows) - 1          # only the two (NULL, NULL) rows collide
+    check = C.Check("u", "unique_combination", "t", ("x", "y"))
+    assert [r.failures for r in C.run_checks(spark, {"t": df}, [check]).collect()] == [1]   # only the two (NULL, NULL) rows
 
 
 def test_fused_counts_equal_per_check_queries(spark):

@@ -101,3 +101,83 @@ def test_incremental_by_cuts_equals_full_build(spark, tmp_path):
     want = m[M.FACT].fillna("")
     assert got.count() == want.count() == 7123
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def _load(spark, days, amount=1.0):
+    return spark.createDataFrame([_trip(f"k{d}", d, amount) for d in days], S.CANONICAL)
+
+
+def _days(spark, path):
+    return sorted((r.trip_id, r.fare_amount) for r in spark.read.parquet(path).collect())
+
+
+class Died(Exception):
+    pass
+
+
+def _die_at(table, step):
+    """Make the table's store die at its ``step``-th deletion or move."""
+    calls = {"n": 0}
+    for name in ("delete", "move", "write_text"):
+        real = getattr(table.store, name)
+
+        def call(*a, real=real):
+            calls["n"] += 1
+            if calls["n"] == step:
+                raise Died
+            return real(*a)
+        setattr(table.store, name, call)
+
+
+def test_a_load_that_dies_anywhere_is_completed_by_the_next(spark, tmp_path):
+    from tripflow.operators.partitioned import PartitionedTable
+    zones, classes = _dims(spark)
+    died = 0
+    for step in range(1, 30):
+        path = str(tmp_path / f"t{step}")
+        upsert_fact_table(spark, path, _load(spark, [1, 2]), zones, classes)
+        full = PartitionedTable.__init__
+
+        def init(self, *a, full=full, step=step):
+            full(self, *a)
+            _die_at(self, step)
+        PartitionedTable.__init__ = init
+        try:
+            upsert_fact_table(spark, path, _load(spark, [2, 3, 4, 5], 9.0), zones, classes)
+            finished = True
+        except Died:
+            died += 1
+            finished = False
+        finally:
+            PartitionedTable.__init__ = full
+        res = upsert_fact_table(spark, path, _load(spark, [1, 2, 3, 4, 5], 9.0), zones, classes)
+        assert _days(spark, path) == [("k1", 1.0), ("k2", 9.0), ("k3", 9.0), ("k4", 9.0), ("k5", 9.0)], (step, res)
+        assert not os.path.exists(os.path.join(path, "_load.json"))
+        assert not os.listdir(os.path.join(path, "_loads"))
+        if finished:
+            break
+    assert died >= 8
+
+
+def test_remains_of_a_first_build_are_no_table(spark, tmp_path):
+    zones, classes = _dims(spark)
+    path = tmp_path / "fct"
+    (path / "pickup_date=2023-01-01").mkdir(parents=True)
+    _load(spark, [9]).write.parquet(str(path / "pickup_date=2023-01-01" / "x"))
+    assert upsert_fact_table(spark, str(path), _load(spark, [1, 2]), zones, classes) == {"mode": "full"}
+    assert [k for k, _ in _days(spark, str(path))] == ["k1", "k2"]
+
+
+def test_newest_date_ignores_later_rows_and_empty_days(spark, tmp_path):
+    from tripflow.operators.incremental import PARTITION_COLUMN, newest_loaded_date
+    from tripflow.operators.partitioned import PartitionedTable
+    zones, classes = _dims(spark)
+    path = str(tmp_path / "fct")
+    upsert_fact_table(spark, path, _load(spark, [1, 2, 5]), zones, classes)
+    os.makedirs(os.path.join(path, "pickup_date=2024-01-09"))
+    table = PartitionedTable(spark, path, PARTITION_COLUMN)
+    target = spark.read.schema(S.FACT).parquet(path)
+    assert newest_loaded_date(table, target) == "2024-01-05"
+    assert newest_loaded_date(table, target, "2024-01-05 07:59:59") == "2024-01-02"
+    assert newest_loaded_date(table, target, "2024-01-05 08:00:00") == "2024-01-05"
+    assert newest_loaded_date(table, target, "2023-01-05 08:00:00") is None

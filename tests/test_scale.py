@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
-from conftest import plan_nodes
+from conftest import plan_nodes, plan_text
 from tripflow.operators.joins import is_small, sized_broadcast
 from tripflow.operators.unify import keep_first
 from tripflow.sources import schemas as S
@@ -65,16 +66,45 @@ def test_hot_key_dedup_ships_one_row_per_task(spark):
 def test_dimension_over_bound_is_not_broadcast(spark):
     dim = spark.range(25).select(F.col("id").cast("int").alias("k"))
     fact = spark.range(1000).select((F.col("id") % 25).cast("int").alias("k"))
-    assert is_small(dim, 25) and not is_small(dim, 24)
+    assert is_small(dim, 25 * 8) and not is_small(dim, 25 * 8 - 1)
+    text = dim.select(F.repeat(F.lit("x"), 100).alias("t"))
+    assert is_small(text, 25 * 108) and not is_small(text, 25 * 108 - 1)
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert plan_nodes(fact.join(sized_broadcast(dim, 100), "k"), "BroadcastHashJoin") == 1
-        assert plan_nodes(fact.join(sized_broadcast(dim, 10), "k"), "BroadcastHashJoin") == 0
+        assert plan_nodes(fact.join(sized_broadcast(dim, 1000), "k"), "BroadcastHashJoin") == 1
+        assert plan_nodes(fact.join(sized_broadcast(dim, 100), "k"), "BroadcastHashJoin") == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
 
+def test_date_filter_reaches_the_scan_below_the_dedup(spark, tmp_path):
+    rows = spark.createDataFrame([tuple(None if f.name != "pickup_date" else dt.date(2024, 1, 1) for f in S.CANONICAL.fields)],
+                                 S.CANONICAL)
+    rows.write.partitionBy("pickup_date").parquet(str(tmp_path / "u"))
+    stored = spark.read.schema(S.CANONICAL).parquet(str(tmp_path / "u")).select(*S.CANONICAL_COLUMNS)
+    plan = plan_text(keep_first(stored).where(F.col("pickup_date") > F.lit("2024-02-01").cast("date")))
+    assert re.search(r"PartitionFilters: \[[^\]]*pickup_date", plan)
+    # also with the newest date of another table, which is known only at run time
+    newest = stored.select(F.max("pickup_date")).scalar()
+    lazy = plan_text(keep_first(stored).where(F.col("pickup_date") > F.date_sub(newest, 1)))
+    assert lazy.index("PartitionFilters") < lazy.index("Window")
+    assert re.search(r"PartitionFilters: \[[^\]]*pickup_date#\d+ >", lazy)
+
+
+def test_row_checks_neither_explode_nor_shuffle_rows(spark):
+    from tripflow.plans import checks as C
+    t = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    parent = spark.range(50).select(F.col("id").alias("p"))
+    checks = [C.Check("a", "not_null", "t", ("k",)), C.Check("b", "not_null", "t", ("v",)),
+              C.Check("c", "relationships", "t", ("k",), to="p", field="p")]
+    df = C.check_failures({"t": t, "p": parent}, checks)
+    assert {r.check_id: r.failures for r in df.collect()} == {"a": 0, "b": 0, "c": 50}
+    plan = plan_text(C.check_failures({"t": t, "p": parent}, checks[:2]))
+    assert "hashpartitioning" not in plan and plan.count("Exchange SinglePartition") <= 1
+    assert plan.index("Generate") < plan.index("HashAggregate")      # above it: only the one row of counts
+
+
 def test_hot_value_in_checks_collapses_before_shuffle(spark):
     """A value holding a third of all rows: the fused check job shuffles per-task partials only."""
     from tripflow.plans import checks as C
@@ -88,5 +118,5 @@ def test_hot_value_in_checks_collapses_before_shuffle(spark):
     job = C.check_failures({"t": t}, checks)
     job.collect()
     written = _exchange_records(job)
-    # distinct keys once, the hot key and the NULL group at most once per task each
+    # distinct keys once, the hot key at most once per task
     assert written and max(written) <= (n - n // 3) + 2 * parts

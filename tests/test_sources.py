@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from conftest import plan_nodes
 from tripflow.sources import schemas as S
 from tripflow.sources.readers import date_spine, read_feed, read_zone_csv
 
@@ -17,16 +18,23 @@ def test_zone_csv_null_and_na(spark, tmp_path):  # E23
 
 
 def test_feed_with_drifting_files(spark, tmp_path):
-    """One month stores VendorID as bigint and passenger_count as int, with a lower-case column."""
-    a, b = str(tmp_path / "m1"), str(tmp_path / "m2")
-    spark.createDataFrame([(1, 1.0, 2.5)], "VendorID int, passenger_count double, Airport_fee double") \
-        .write.parquet(a)
-    spark.createDataFrame([(2, 3, 1.25)], "VendorID bigint, passenger_count int, airport_fee double") \
-        .write.parquet(b)
-    df = read_feed(spark, [a + "/*.parquet", b + "/*.parquet"], S.YELLOW_RAW, per_schema_group=True)
+    """Months that store columns as int, bigint or double, and a column in another case, in one glob."""
+    for name, row, types in (
+            ("m1", (1, 1.0, 2.5), "VendorID int, passenger_count double, Airport_fee double"),
+            ("m2", (2, 3, 1.25), "VendorID bigint, passenger_count int, airport_fee double"),
+            ("m3", (3.0, 4, 2), "VendorID double, passenger_count bigint, airport_fee int"),
+            ("m4", (4, 5.0, 0.5), "VendorID int, passenger_count double, Airport_fee double")):
+        spark.createDataFrame([row], types).coalesce(1).write.parquet(str(tmp_path / name))
+    df = read_feed(spark, str(tmp_path) + "/m*/*.parquet", S.YELLOW_RAW)
     assert df.schema == S.YELLOW_RAW
     got = sorted((r.VendorID, r.passenger_count, r.Airport_fee) for r in df.collect())
-    assert got == [(1, 1.0, 2.5), (2, 3.0, 1.25)]
+    assert got == [(1, 1.0, 2.5), (2, 3.0, 1.25), (3, 4.0, 2.0), (4, 5.0, 0.5)]
+
+
+def test_equally_typed_files_are_one_scan(spark, tmp_path):
+    for k in range(5):
+        spark.createDataFrame([(k, 1.0)], "VendorID int, passenger_count double").coalesce(1).write.parquet(str(tmp_path / f"m{k}"))
+    assert plan_nodes(read_feed(spark, str(tmp_path) + "/m*/*.parquet", S.YELLOW_RAW), "Scan parquet") == 1
 
 
 def test_date_spine(spark):  # E15

@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 def _raws(spark: SparkSession, a: argparse.Namespace):
     from tripflow.sources.readers import read_feed, read_zone_csv
     from tripflow.sources.schemas import RAW_SCHEMAS
-    raws = {f: read_feed(spark, getattr(a, f), RAW_SCHEMAS[f], per_schema_group=a.drifting_files)
+    raws = {f: read_feed(spark, getattr(a, f), RAW_SCHEMAS[f])
             for f in ("yellow", "green", "hvfhv")}
     raws["zone"] = read_zone_csv(spark, a.zones)
     return raws
@@ -50,8 +50,6 @@ def main(argv: list[str] | None = None) -> int:
         s.add_argument("--hvfhv", required=True, help="ride-hail raw Parquet path or glob")
         s.add_argument("--zones", required=True, help="zone lookup CSV")
         s.add_argument("--out", required=True, help="output folder of the tables")
-        s.add_argument("--drifting-files", action="store_true",
-                       help="read each group of files with its own footer schema, then cast")
         s.add_argument("--as-of", default=None, help="check clock (default: session local time)")
         if name == "build":
             s.add_argument("--lookback-days", type=int, default=1)
@@ -59,27 +57,31 @@ def main(argv: list[str] | None = None) -> int:
         if name == "stream":
             s.add_argument("--continuous", action="store_true",
                            help="keep running (default: process available files and stop)")
+            s.add_argument("--checkpoint", default=None,
+                           help="folder of the stream's progress (default: _checkpoint under --out)")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"tripflow-{a.cmd}").getOrCreate()
 
+    from tripflow.plans import suite as M
+    suite = M.full_suite(a.as_of)
     if a.cmd == "build":
         from tripflow.plans import models
         report = models.run(spark, _raws(spark, a), a.out, lookback_days=a.lookback_days,
                             ignore_after=a.ignore_after, as_of=a.as_of)
-        report.where("status != 'pass'").show(200, truncate=False)
+        report.where("status != 'pass'").show(len(suite), truncate=False)
         return 1 if report.where("status = 'fail'").limit(1).count() else 0
     if a.cmd == "check":
-        from tripflow.plans import suite as M
         from tripflow.plans.checks import run_checks
-        report = run_checks(spark, _tables(spark, a), M.full_suite(a.as_of))
-        report.show(200, truncate=False)
+        report = run_checks(spark, _tables(spark, a), suite)
+        report.show(len(suite), truncate=False)
         return 1 if report.where("status = 'fail'").limit(1).count() else 0
     from tripflow.operators import dims, staging
     from tripflow.streaming.delivery import start_delivery
     raws = _raws(spark, a)
     zones = dims.dim_zones(staging.stage_zones(raws["zone"]))
     q = start_delivery(spark, {f: getattr(a, f) for f in ("yellow", "green", "hvfhv")}, a.out,
-                       zones, dims.dim_vehicle_class(spark), available_now=not a.continuous)
+                       zones, dims.dim_vehicle_class(spark), available_now=not a.continuous,
+                       checkpoint_location=a.checkpoint)
     q.awaitTermination()
     return 0
 

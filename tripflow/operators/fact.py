@@ -38,7 +38,8 @@ def build_fact(trips: DataFrame, zones: DataFrame, classes: DataFrame,
     """Unified trips -> fact rows, in the fact column order.
 
     ``broadcast_dims=None`` broadcasts each dimension only if it is proven
-    small (see ``joins.sized_broadcast``); ``True`` forces broadcast (for
+    small (see ``joins.sized_broadcast``; the vehicle classes are a literal
+    relation of fixed size and need no check); ``True`` forces broadcast (for
     dimensions whose size the caller bounds), ``False`` leaves it to Spark.
     """
     def dim(df: DataFrame) -> DataFrame:
@@ -53,9 +54,10 @@ def build_fact(trips: DataFrame, zones: DataFrame, classes: DataFrame,
     dz = z.select(F.col("location_id").alias("_dz_id"),
                   F.col("zone_name").alias("dropoff_zone_name"),
                   F.col("borough").alias("dropoff_borough"))
-    vc = dim(classes.select(F.col("vehicle_class").alias("_vc"),
-                            F.col("display_name").alias("vehicle_display_name"),
-                            "is_rideshare"))
+    vc = classes.select(F.col("vehicle_class").alias("_vc"),
+                        F.col("display_name").alias("vehicle_display_name"),
+                        "is_rideshare")
+    vc = vc if broadcast_dims is False else F.broadcast(vc)
 
     joined = (trips
               .join(pz, F.col("pickup_zone_id") == F.col("_pz_id"), "left")

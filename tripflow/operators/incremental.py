@@ -7,9 +7,9 @@ Two forms share the same rules:
 * ``upsert_fact_table`` applies them to a Parquet table partitioned by
   ``pickup_date``. A key hashes the raw pick-up time, so each key lives in
   exactly one date partition: only the partitions the batch touches are read,
-  merged and rewritten (dynamic partition overwrite). The merged partitions are
-  staged under the shared checkpoint folder first, so the overwrite never
-  reads the files it replaces.
+  merged and replaced. The merged partitions are written once and moved into
+  place under a manifest (``operators.partitioned``), so a run that dies at any
+  point is finished, or leaves no trace, when the next run starts.
 
 Batch selection (B14), faithful to the reference: ``pickup_date >
 max(target.pickup_date) - 1 day``. Consequences kept on purpose: a late row
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.operators.fact import build_fact
-from tripflow.session import scratch_path
+from tripflow.operators.partitioned import PartitionedTable
 from tripflow.sources.schemas import FACT, FACT_COLUMNS, TRIP_KEY
 
 PARTITION_COLUMN = "pickup_date"
@@ -36,10 +36,17 @@ def max_loaded_date(target: DataFrame, ignore_after: dt.datetime | str | None =
     """``max(pickup_date)`` of the target as a scalar subquery column (NULL if empty)."""
     t = target
     if ignore_after is not None:
-        t = t.where(F.col("pickup_at") <= F.lit(str(ignore_after)).cast("timestamp_ntz"))
+        t = t.where(picked_up_by(ignore_after))
     return t.select(F.max(PARTITION_COLUMN)).scalar()
 
 
+def picked_up_by(moment: dt.datetime | str) -> Column:
+    """Picked up at or before ``moment``. The date condition follows from the other one; it is
+    stated so that later partitions are not read."""
+    m = F.lit(str(moment)).cast("timestamp_ntz")
+    return (F.col(PARTITION_COLUMN) <= m.cast("date")) & (F.col("pickup_at") <= m)
+
+
 def batch_filter(max_date: Column | dt.date, lookback_days: int = 1) -> Column:
     """Rows dated after ``max_date - lookback_days``; NULL max keeps nothing."""
     m = max_date if isinstance(max_date, Column) else F.lit(max_date)
@@ -61,62 +68,49 @@ def incremental_fact(target: DataFrame, trips: DataFrame, zones: DataFrame, clas
     return merge_increment(target, batch)
 
 
-def write_fact(fact: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write the fact partitioned by ``pickup_date``.
+def newest_loaded_date(table: PartitionedTable, target: DataFrame, ignore_after=None) -> str | None:
+    """C5 on the written table: its newest date that holds a row, none if there is none.
 
-    ``rebalance`` on the partition column lets AQE size the write tasks: a
-    date holding a third of all rows is split over several tasks and files
-    instead of one, and quiet dates are packed together.
+    The dates come from the listing. A day is read only to see that it has a row, newest first:
+    one small job, unless the newest days are empty or beyond ``ignore_after``.
     """
-    (fact.hint("rebalance", PARTITION_COLUMN)
-     .write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PARTITION_COLUMN)
-     .parquet(path))
-
-
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+    last = None if ignore_after is None else str(ignore_after)[:10]
+    for day in reversed(table.partitions()):
+        if last is not None and day > last:
+            continue
+        rows = target.where(F.col(PARTITION_COLUMN) == F.lit(day).cast("date"))
+        if ignore_after is not None:
+            rows = rows.where(picked_up_by(ignore_after))
+        if not rows.isEmpty():
+            return day
+    return None
 
 
 def upsert_fact_table(spark: SparkSession, path: str, trips: DataFrame, zones: DataFrame,
                       classes: DataFrame, lookback_days: int = 1, ignore_after=None) -> dict:
-    """Full build when ``path`` is absent, else one delete+insert run.
+    """Full build when no table is committed at ``path``, else one delete+insert run.
 
-    Returns a small summary dict (mode, max date, batch rows, touched dates).
-    Not atomic across partitions: a run that fails midway is re-run whole,
-    which is idempotent because the batch rule depends only on the target.
+    Returns a small summary dict (mode, max date, batch rows, touched dates; ``finished`` holds the
+    summary of a load that an earlier run left open and this one completed first).
     """
-    if not _table_exists(spark, path):
-        write_fact(build_fact(trips, zones, classes), path)
+    table = PartitionedTable(spark, path, PARTITION_COLUMN)
+    if not table.committed():
+        table.create(build_fact(trips, zones, classes))
         return {"mode": "full"}
+    finished = table.recover()
+    done = {"finished": finished} if finished else {}
 
     # declared schema: no inference pass, and an empty table still reads
     target = spark.read.schema(FACT).parquet(path)
-    t = target
-    if ignore_after is not None:
-        t = t.where(F.col("pickup_at") <= F.lit(str(ignore_after)).cast("timestamp_ntz"))
-    max_date = t.agg(F.max(PARTITION_COLUMN)).first()[0]
-    if max_date is None:
-        return {"mode": "incremental", "max_date": None, "batch_rows": 0, "dates": []}
-
-    batch = build_fact(trips.where(batch_filter(max_date, lookback_days)), zones, classes)
-    staged_batch = scratch_path(spark, "batch")
-    batch.write.parquet(staged_batch)
-    batch = spark.read.parquet(staged_batch)
-
-    # dates are calendar days: a bounded, small list even for 100 TB of trips
-    dates = [r[0] for r in batch.select(PARTITION_COLUMN).distinct().collect()]
-    if not dates:
-        return {"mode": "incremental", "max_date": str(max_date), "batch_rows": 0, "dates": []}
-    existing = target.where(F.col(PARTITION_COLUMN).isin(dates))
-    merged = merge_increment(existing, batch)
-
-    staged_merge = scratch_path(spark, "merge")
-    merged.write.partitionBy(PARTITION_COLUMN).parquet(staged_merge)
-    write_fact(spark.read.parquet(staged_merge).select(*FACT_COLUMNS), path, mode="overwrite")
-    return {"mode": "incremental", "max_date": str(max_date),
-            "batch_rows": batch.count(), "dates": sorted(str(d) for d in dates)}
+    newest = newest_loaded_date(table, target, ignore_after)
+    if newest is None:
+        return {"mode": "incremental", "max_date": None, "batch_rows": 0, "dates": [], **done}
+
+    batch = build_fact(trips.where(batch_filter(dt.date.fromisoformat(newest), lookback_days)), zones, classes)
+    # calendar days: a bounded, small list even for 100 TB of trips
+    per_day = {str(r[0]): r[1] for r in batch.groupBy(PARTITION_COLUMN).count().collect()}
+    info = {"mode": "incremental", "max_date": newest, "batch_rows": sum(per_day.values()), "dates": sorted(per_day)}
+    if per_day:
+        touched = F.col(PARTITION_COLUMN).isin([dt.date.fromisoformat(d) for d in per_day])
+        table.replace(merge_increment(target.where(touched), batch), info)
+    return {**info, **done}

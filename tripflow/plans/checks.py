@@ -12,11 +12,17 @@ check library the reference uses:
 * ``within_percentage``: rows deviating more than ``threshold_pct`` percent.
 * singular checks (``no_future_trips``, ``total_equals_components``): rows returned.
 
-Execution plan of ``run_checks``: all column checks of one table run as one
-job (one scan, one shuffle of tagged keys aggregated map-side, so a key
-holding a third of the rows collapses to one row per task); orphan checks
-join distinct keys only and broadcast the parents when proven small. The
-singular checks are one filter-count each. Nothing is collected.
+Execution plan of ``run_checks``, per table:
+
+* checks that look at one row (not_null, row predicates, relationships to parents measured small)
+  are ``count_if`` columns of one global aggregate, with the parents' keys as broadcast left joins.
+  No row is exploded, nothing is shuffled but one partial row per task;
+* accepted_values groups only the offending rows;
+* unique and unique_combination group their typed columns, one shuffle each, partially aggregated
+  map-side (a key holding a third of the rows is one row per task);
+* relationships to larger parents join distinct keys.
+
+Nothing is collected.
 """
 
 from __future__ import annotations
@@ -32,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.functions.exprs import boundaries_between, pct_deviation
-from tripflow.operators.joins import DEFAULT_BROADCAST_ROWS, orphan_rows
+from tripflow.operators.joins import is_small, orphan_rows
 
 ERROR, WARN = "error", "warn"
 
@@ -188,126 +194,92 @@ COLUMN_KINDS = ("not_null", "unique", "accepted_values", "relationships", "uniqu
                 "within_percentage", "singular")
 
 
-def _tuple_text(cols: Sequence[str]) -> Column:
-    """Injective text of a column tuple: each part length-prefixed, NULL as '~'.
-
-    NULLs of the same column compare equal, as in a GROUP BY over the columns.
-    """
-    parts = []
-    for name in cols:
-        s = F.col(name).cast("string")
-        parts.append(F.coalesce(F.concat(F.length(s).cast("string"), F.lit(":"), s), F.lit("~")))
-    return F.concat(*parts)
-
-
-def _emit(c: Check, idx: int) -> Column:
-    """The ``(check index, key)`` pair one row contributes to check ``c`` (or NULL)."""
-    def tag(k: Column) -> Column:
-        return F.struct(F.lit(idx).alias("i"), k.cast("string").alias("k"))
-    if c.kind == "unique_combination":
-        return tag(_tuple_text(c.columns))
-    if c.kind in ("within_percentage", "singular"):
-        return F.when(_row_predicate(c), tag(F.lit(None)))
-    col = F.col(c.columns[0])
-    if c.kind == "not_null":
-        return F.when(col.isNull(), tag(F.lit(None)))
-    if c.kind == "accepted_values":
-        return F.when(col.isNotNull() & ~col.isin(list(c.values)), tag(col))
-    return F.when(col.isNotNull(), tag(col))        # unique, relationships
-
-
-class _SizeProofs:
-    """Row-count bounds of parent tables, each proven once per suite run."""
-
-    def __init__(self, max_rows: int = DEFAULT_BROADCAST_ROWS):
-        self.max_rows, self._seen = max_rows, {}
+class _Parents:
+    """Parent keys of relationship checks; each parent column is measured once per suite run."""
 
-    def rows_at_most(self, df: DataFrame) -> int | None:
-        key = id(df)
-        if key not in self._seen:
-            n = df.limit(self.max_rows + 1).count()
-            self._seen[key] = (df, n if n <= self.max_rows else None)
-        return self._seen[key][1]
+    def __init__(self, tables: Mapping[str, DataFrame]):
+        self.tables, self._small = tables, {}
 
-    def all_small(self, frames: list[DataFrame]) -> bool:
-        total = 0
-        for f in frames:
-            n = self.rows_at_most(f)
-            if n is None:
-                return False
-            total += n
-        return total <= self.max_rows
+    def keys(self, c: Check, child: DataFrame) -> DataFrame:
+        """The parent's keys in the child column's type, without NULLs."""
+        ctype = child.schema[c.columns[0]].dataType
+        return self.tables[c.to].select(F.col(c.field).cast(ctype).alias("_k")).where(F.col("_k").isNotNull())
 
+    def small(self, c: Check) -> bool:
+        if (c.to, c.field) not in self._small:
+            self._small[c.to, c.field] = is_small(self.tables[c.to].select(c.field))
+        return self._small[c.to, c.field]
 
-def _parent_keys(df: DataFrame, checks: list[tuple[int, Check]],
-                 tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Distinct parent keys of the relationship checks, tagged by check index.
 
-    Parent keys take the child column's type before becoming text, so they
-    compare as the typed columns would.
-    """
-    parts = []
-    for i, c in checks:
-        ctype = df.schema[c.columns[0]].dataType
-        parts.append(tables[c.to].select(F.lit(i).alias("i"),
-                                         F.col(c.field).cast(ctype).cast("string").alias("k")))
-    keys = functools.reduce(lambda a, b: a.unionByName(b), parts)
-    return keys.where(F.col("k").isNotNull()).distinct()
-
-
-_PER_ROW = ("not_null", "relationships", "within_percentage", "singular")
-_PER_DUPLICATE_KEY = ("unique", "unique_combination")
-
-
-def _column_check_counts(df: DataFrame, checks: list[Check],
-                         tables: Mapping[str, DataFrame], proofs: _SizeProofs) -> DataFrame:
-    """Every check of one table in one scan and one shuffle.
-
-    Each row emits a ``(check index, key)`` pair per check it concerns (NULL
-    for not_null and row predicates, offending values for accepted_values,
-    every non-NULL key for unique/relationships, the column tuple for
-    unique_combination). A grouped count per pair (partial aggregation
-    map-side: a hot key becomes one row per task) is followed by one anti join
-    with the tagged parent keys (broadcast when proven small) and a
-    per-check reduction:
-
-    * not_null, relationships, row predicates: rows (sum of counts),
-    * unique, unique_combination: keys counted more than once,
-    * accepted_values: distinct offending values.
-    """
-    pairs = F.array(*[_emit(c, i) for i, c in enumerate(checks)])
-    emitted = (df.select(F.explode(pairs).alias("p")).where(F.col("p").isNotNull())
-               .select("p.i", "p.k"))
-    per_key = emitted.groupBy("i", "k").agg(F.count(F.lit(1)).alias("n"))
-    rel = [(i, c) for i, c in enumerate(checks) if c.kind == "relationships"]
-    if rel:
-        parents = _parent_keys(df, rel, tables)
-        if proofs.all_small([tables[c.to] for _, c in rel]):
-            parents = F.broadcast(parents)
-        # indexes are unique per check, so only relationship pairs can ever match
-        per_key = per_key.join(parents, ["i", "k"], "left_anti")
-    i = F.col("i")
-    dup = [j for j, c in enumerate(checks) if c.kind in _PER_DUPLICATE_KEY]
-    dom = [j for j, c in enumerate(checks) if c.kind == "accepted_values"]
-    contribution = (F.when(i.isin(dup), (F.col("n") > 1).cast("bigint"))
-                    .when(i.isin(dom), F.lit(1).cast("bigint"))
-                    .otherwise(F.col("n")))
-    counts = per_key.groupBy("i").agg(F.sum(contribution).cast("bigint").alias("failures"))
-    ids = F.element_at(F.array(*[F.lit(c.check_id) for c in checks]), i + 1)
-    return counts.select(ids.alias("check_id"), "failures")
+def _row_checks(df: DataFrame, checks: list[Check], parents: _Parents) -> DataFrame:
+    """Checks that look at one row: one ``count_if`` each, in one global aggregate."""
+    failed: list[Column] = []
+    joined: dict[tuple, str] = {}
+    for c in checks:
+        if c.kind == "not_null":
+            failed.append(F.col(c.columns[0]).isNull())
+        elif c.kind == "relationships":
+            key = (c.columns[0], c.to, c.field)
+            if key not in joined:
+                found = joined[key] = f"_parent{len(joined)}"
+                keys = F.broadcast(parents.keys(c, df).distinct().withColumn(found, F.lit(True)))
+                df = df.join(keys, F.col(c.columns[0]) == F.col("_k"), "left").drop("_k")
+            failed.append(F.col(c.columns[0]).isNotNull() & F.col(joined[key]).isNull())
+        else:
+            failed.append(_row_predicate(c))
+    counts = df.agg(*[F.count_if(f).alias(f"c{i}") for i, f in enumerate(failed)])
+    # one row from here on
+    pairs = F.array(*[F.struct(F.lit(c.check_id).alias("check_id"), F.col(f"c{i}").alias("failures"))
+                      for i, c in enumerate(checks)])
+    return counts.select(F.inline(pairs))
+
+
+def _domain_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """accepted_values: distinct offending values; only offending rows are expanded."""
+    bad = [F.col(c.columns[0]).isNotNull() & ~F.col(c.columns[0]).isin(list(c.values)) for c in checks]
+    pairs = F.array(*[F.when(b, F.struct(F.lit(c.check_id).alias("check_id"),
+                                         F.col(c.columns[0]).cast("string").alias("value")))
+                      for b, c in zip(bad, checks, strict=True)])
+    rows = df.where(functools.reduce(lambda x, y: x | y, bad)).select(F.explode(pairs).alias("p"))
+    return (rows.where(F.col("p").isNotNull()).select("p.*").distinct()
+            .groupBy("check_id").agg(F.count(F.lit(1)).alias("failures")))
+
+
+def _one_count(c: Check, rows: DataFrame, failures: Column) -> DataFrame:
+    return rows.agg(failures.cast("bigint").alias("failures")).select(F.lit(c.check_id).alias("check_id"), "failures")
+
+
+def _column_check_counts(df: DataFrame, checks: list[Check], parents: _Parents) -> list[DataFrame]:
+    """(check_id, failures) of every check of one table, in as few passes as their kinds need."""
+    of_row, domain, parts = [], [], []
+    for c in checks:
+        if c.kind == "accepted_values":
+            domain.append(c)
+        elif c.kind == "unique":
+            parts.append(_one_count(c, unique_failures(df, c.columns[0]), F.count(F.lit(1))))
+        elif c.kind == "unique_combination":
+            parts.append(_one_count(c, unique_combination_failures(df, c.columns), F.count(F.lit(1))))
+        elif c.kind == "relationships" and not parents.small(c):
+            orphans = orphan_rows(df, c.columns[0], parents.keys(c, df), "_k", broadcast_parent=False)
+            parts.append(_one_count(c, orphans, F.coalesce(F.sum("_rows"), F.lit(0))))
+        else:
+            of_row.append(c)
+    if of_row:
+        parts.append(_row_checks(df, of_row, parents))
+    if domain:
+        parts.append(_domain_checks(df, domain))
+    return parts
 
 
 def check_failures(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """(check_id, failures) for the checks that can fail; absent ids mean 0."""
-    parts: list[DataFrame] = []
+    """(check_id, failures) of the checks; an id that is absent means 0."""
     by_model: dict[str, list[Check]] = defaultdict(list)
     for c in checks:
         if c.kind not in COLUMN_KINDS:
             raise ValueError(f"unknown check kind {c.kind}")
         by_model[c.model].append(c)
-    proofs = _SizeProofs()
-    for model, group in by_model.items():
-        parts.append(_column_check_counts(tables[model], group, tables, proofs))
+    parents = _Parents(tables)
+    parts = [p for model, group in by_model.items() for p in _column_check_counts(tables[model], group, parents)]
     return functools.reduce(lambda a, b: a.unionByName(b), parts)
 
 

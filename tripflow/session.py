@@ -19,19 +19,19 @@ JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder, as configured for this session.
+    """The shared folder for intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` (or a directory already set on the
-    context). Raises when neither is set: a machine-local temporary folder
-    would not survive the loss of an executor on a cluster.
+    It is the checkpoint folder of the context, or ``spark.checkpoint.dir``. Where neither is set,
+    it is set to a folder beside the warehouse (``spark.sql.warehouse.dir``), which every executor
+    reaches, too. A machine-local temporary folder is never used: it would not survive the loss of
+    an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
-    if not conf:
-        raise RuntimeError(f"{CHECKPOINT_CONF} is not set; configure a shared folder for it")
+    conf = (spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
+            or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_tripflow_scratch"))
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 

@@ -16,12 +16,13 @@ from __future__ import annotations
 
 import hashlib
 import os
-import tempfile
 import threading
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.session import CHECKPOINT_CONF, checkpoint_dir
+from tripflow.files import Store
+from tripflow.session import checkpoint_dir
 from tripflow.sources.readers import conform, read_feed, read_zone_csv
 from tripflow.sources.schemas import RAW_SCHEMAS
 
@@ -139,77 +140,61 @@ def derived_raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {f: raw_feed(spark, sf_dir, f, tables) for f in FEED_SQL}
 
 
-def _work_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder.
-
-    Only a local-mode session without one (tests, single-machine checks) gets a
-    private temporary folder; on a cluster the shared ``spark.checkpoint.dir``
-    is required, since executors cannot see the driver's disk.
-    """
-    sc = spark.sparkContext
-    unset = not (sc.getCheckpointDir() or sc.getConf().get(CHECKPOINT_CONF, None)
-                 or spark.conf.get(CHECKPOINT_CONF, None))
-    if unset and sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tripflow-ckpt-"))
-    return checkpoint_dir(spark)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
-
-
 def _source_fingerprint(spark: SparkSession, sf_dir: str) -> str:
     """Folder name for the derived feeds: source path plus each table's size and mtime,
     so changed source tables never reuse stale derived files."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    parts = [sf_dir]
-    for t in SOURCE_TABLES:
-        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
-        fs = path.getFileSystem(conf)
-        if fs.exists(path):
-            summary = fs.getContentSummary(path)
-            parts.append(f"{t}:{summary.getLength()}:{fs.getFileStatus(path).getModificationTime()}")
+    store = Store(spark)
+    parts = [sf_dir, *(f"{t}:{store.fingerprint(f'{sf_dir}/{t}.parquet')}" for t in SOURCE_TABLES)]
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
 _MATERIALIZE_LOCK = threading.Lock()
 
 
-def materialize_raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Write the derived feeds once, as a real deployment receives them.
+def materialize_raw_feed(spark: SparkSession, sf_dir: str, feed: str) -> str:
+    """Write one derived feed once, as a real deployment receives it; its path.
 
     Trip feeds become Parquet folders, the zone lookup a CSV file with a
     header, under the session's checkpoint folder; a feed already written
-    (``_SUCCESS`` present) is reused. Returns feed -> path.
+    (``_SUCCESS`` present) is reused.
     """
     with _MATERIALIZE_LOCK:   # queries may be called from several threads of one session
-        return _materialize(spark, sf_dir)
-
-
-def _materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    base = os.path.join(_work_dir(spark), "tripflow-raw", _source_fingerprint(spark, sf_dir))
-    tables = None
-    paths = {}
-    for feed in FEED_SQL:
-        path = os.path.join(base, feed)
-        if not _exists(spark, os.path.join(path, "_SUCCESS")):
-            tables = tables or source_tables(spark, sf_dir)
-            df = raw_feed(spark, sf_dir, feed, tables)
+        path = os.path.join(checkpoint_dir(spark), "tripflow-raw", _source_fingerprint(spark, sf_dir), feed)
+        if not Store(spark).exists(os.path.join(path, "_SUCCESS")):
+            df = raw_feed(spark, sf_dir, feed)
             if feed == "zone":
                 df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
             else:
-                # small row groups: a file splits into several scan tasks, as large files do
-                df.write.mode("overwrite").option("parquet.block.size", 1 << 20).parquet(path)
-        paths[feed] = path
-    return paths
-
-
-def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All four raw feeds read from their materialised files (A1 Parquet, A2 CSV)."""
-    paths = materialize_raw_feeds(spark, sf_dir)
-    out = {f: read_feed(spark, paths[f], RAW_SCHEMAS[f]) for f in ("yellow", "green", "hvfhv")}
-    out["zone"] = read_zone_csv(spark, paths["zone"])
-    return out
+                df.write.mode("overwrite").parquet(path)
+        return path
+
+
+def materialize_raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """All feeds, written; feed -> path."""
+    return {feed: materialize_raw_feed(spark, sf_dir, feed) for feed in FEED_SQL}
+
+
+class RawFeeds(Mapping):
+    """The raw feeds read from their materialised files (A1 Parquet, A2 CSV), each on first access."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir, self._read = spark, sf_dir, {}
+
+    def __getitem__(self, feed: str) -> DataFrame:
+        if feed not in self._read:
+            if feed not in FEED_SQL:
+                raise KeyError(feed)
+            path = materialize_raw_feed(self._spark, self._sf_dir, feed)
+            self._read[feed] = (read_zone_csv(self._spark, path) if feed == "zone"
+                                else read_feed(self._spark, path, RAW_SCHEMAS[feed]))
+        return self._read[feed]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(FEED_SQL)
+
+    def __len__(self) -> int:
+        return len(FEED_SQL)
+
+
+def raw_feeds(spark: SparkSession, sf_dir: str) -> RawFeeds:
+    return RawFeeds(spark, sf_dir)

@@ -1,20 +1,21 @@
 """Sources A1-A4: raw Parquet feeds, the zone CSV, literal relations, date spine.
 
-Raw trip files are read with a declared schema (no inference pass over the
-data). Real monthly files drift in physical type and column case; for those,
-``read_feed(..., per_schema_group=True)`` reads each group of files sharing a
-footer schema with its own schema, casts to the declared types and unions by
-name. Only footers are touched on the driver; rows are never collected.
+Raw trip files drift in physical type (int32, int64, double) and in the case
+of column names. ``read_feed`` finds the sets of files that share physical
+types, reads each with its own types, casts to the declared schema and unions
+by name. Types are found by Spark's own distributed schema merge over many
+files at once: a merge that fails splits the files, so the number of jobs
+follows the number of changes of type, not the number of files.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import functools
-from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,28 +51,36 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
-def read_feed(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
-              per_schema_group: bool = False) -> DataFrame:
+def same_typed(spark: SparkSession, files: list[str]) -> Iterator[tuple[list[str], T.StructType]]:
+    """(files, schema) of sets of files whose columns have the same physical types.
+
+    ``files`` are in order; files of one period mostly agree, so few splits are needed.
+    """
+    try:
+        schema = spark.read.option("mergeSchema", "true").parquet(*files).schema
+    except (PySparkException, Py4JJavaError) as e:  # Spark raises one or the other, by version
+        if len(files) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(e):
+            raise
+        half = len(files) // 2
+        yield from same_typed(spark, files[:half])
+        yield from same_typed(spark, files[half:])
+        return
+    yield files, schema
+
+
+def read_feed(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """A1: Parquet glob scan of one raw feed on its declared schema.
 
-    Default: one scan with the declared schema; Spark matches columns
-    case-insensitively, pushes filters and prunes columns. With
-    ``per_schema_group`` the files are grouped by footer schema first, so a
-    month stored as int64 or double next to int32 months reads correctly.
+    Each set of equally typed files is one scan: filters are pushed down and
+    columns pruned in each. Sets of equal schema are read together.
     """
-    paths = _as_list(paths)
-    if not per_schema_group:
-        return spark.read.schema(schema).parquet(*paths)
-    files = sorted(spark.read.parquet(*paths).inputFiles())
-    # footer reads are I/O bound: overlap them (metadata only, never rows)
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema.simpleString(), files))
-    groups: dict[str, list[str]] = defaultdict(list)
-    for f, sch in zip(files, schemas):
-        groups[sch].append(f)
-    parts = [conform(spark.read.parquet(*fs), schema) for fs in groups.values()]
-    if not parts:
+    files = sorted(spark.read.format("parquet").schema(schema).load(_as_list(paths)).inputFiles())
+    if not files:
         return spark.createDataFrame([], schema)
+    sets: dict[str, tuple[list[str], T.StructType]] = {}
+    for some, found in same_typed(spark, files):
+        sets.setdefault(found.json(), ([], found))[0].extend(some)
+    parts = [conform(spark.read.schema(found).parquet(*some), schema) for some, found in sets.values()]
     return functools.reduce(lambda a, b: a.unionByName(b), parts)
 
 

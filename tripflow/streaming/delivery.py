@@ -1,9 +1,10 @@
 """Streaming delivery: raw trip files arriving over time -> the same tables as a batch build.
 
 Not an operator of its own: it runs the batch operators on each micro-batch.
-Each raw feed is a file stream (declared schema, no inference); the three
-streams are classified, staged and unioned, and ``foreachBatch`` merges every
-micro-batch into tables partitioned by ``pickup_date``:
+Each raw feed folder is a stream of *file names*; ``foreachBatch`` reads the
+new files of a micro-batch with the batch reader, so files whose physical
+types drift are converted exactly as in a batch build, and merges them into
+tables partitioned by ``pickup_date``:
 
 * unified trips: for each date the batch touches, the stored rows of that date
   and the batch rows are deduplicated together with the batch rule
@@ -11,13 +12,18 @@ micro-batch into tables partitioned by ``pickup_date``:
   meet in the same date partition and the result equals a batch build over
   all files, whatever the arrival order;
 * fact: rebuilt for the touched dates from the merged unified rows (broadcast
-  dimension joins) and overwritten partition by partition;
+  dimension joins);
 * anomalies and audit counts: written per micro-batch under ``batch_id=<id>``.
 
-Every write is an overwrite keyed by date or batch id, so a micro-batch
-replayed after a failure (Spark re-runs the last uncommitted batch) produces
-the same files: the sink is idempotent. The streaming state is only the file
-source log in the checkpoint location; no unbounded state is held in memory.
+Restarts: the checkpoint lies inside the output folder by default
+(``_checkpoint``), so a later session continues where the last one ended, with
+the same batch ids, and two outputs never share one. Date partitions are
+written once and moved into place under a manifest
+(``operators.partitioned``). A micro-batch that died is replayed by Spark after
+the open load has been finished; merging its rows again changes nothing,
+because a key's copies collapse to one, and the per-batch tables are
+overwritten by batch id. The streaming state is only the file log in the
+checkpoint; no unbounded state is held in memory.
 """
 
 from __future__ import annotations
@@ -31,29 +37,29 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripflow.operators.classify import FEEDS, FLAG_COLUMNS, any_flag, classify
 from tripflow.operators.fact import build_fact
-from tripflow.operators.incremental import PARTITION_COLUMN, write_fact
+from tripflow.operators.incremental import PARTITION_COLUMN
+from tripflow.operators.partitioned import PartitionedTable
 from tripflow.operators.unify import canonical_columns, keep_first
-from tripflow.session import checkpoint_dir, scratch_path
+from tripflow.sources.readers import read_feed
 from tripflow.sources.schemas import CANONICAL, CANONICAL_COLUMNS, RAW_SCHEMAS
 
 FEED_ORDER = ("yellow", "green", "hvfhv")
+# new files of one micro-batch and feed whose names the driver takes, unless the caller says less
+FILES_PER_BATCH = 1000
+# Fixed value: the schema of Spark's file listing source
+FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
+def new_files(spark: SparkSession, feed: str, path: str, max_files_per_trigger: int) -> DataFrame:
+    """The names of the files that arrive in a feed's folder; contents are not read."""
+    return (spark.readStream.format("binaryFile").schema(FILE).option("maxFilesPerTrigger", max_files_per_trigger)
+            .option("pathGlobFilter", "*.parquet").load(path).select(F.lit(feed).alias("feed"), "path"))
 
 
-def classified_stream(spark: SparkSession, feed: str, path: str,
-                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """One raw feed as a stream of canonical trips with their classification."""
-    reader = spark.readStream.schema(RAW_SCHEMAS[feed])
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    c = classify(reader.parquet(path), FEEDS[feed])
-    return c.select(*canonical_columns(feed), *FLAG_COLUMNS, "valid", "rejection_reason",
-                    "audit_total_amount")
+def classified(spark: SparkSession, feed: str, files: list[str]) -> DataFrame:
+    """The rows of some files of a feed as canonical trips with their classification."""
+    c = classify(read_feed(spark, files, RAW_SCHEMAS[feed]), FEEDS[feed])
+    return c.select(*canonical_columns(feed), *FLAG_COLUMNS, "valid", "rejection_reason", "audit_total_amount")
 
 
 class TripSink:
@@ -66,19 +72,26 @@ class TripSink:
     def path(self, name: str) -> str:
         return os.path.join(self.out_dir, name)
 
+    def table(self, name: str) -> PartitionedTable:
+        return PartitionedTable(self.spark, self.path(name), PARTITION_COLUMN)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        files: dict[str, list[str]] = {}
+        for r in batch.select("feed", "path").collect():    # bounded by the files per trigger
+            files.setdefault(r.feed, []).append(r.path)
+        if not files:
+            return
+        parts = [classified(self.spark, f, sorted(files[f])) for f in FEED_ORDER if f in files]
         # the micro-batch feeds three writes (anomalies, audit, trips): cache it for the
         # duration of the batch; its lineage is one replayable file read, so a lost
         # executor only re-reads those files
-        b = batch.persist()
+        b = functools.reduce(lambda x, y: x.unionByName(y), parts).persist()
         try:
             self._merge(b, batch_id)
         finally:
             b.unpersist()
 
     def _merge(self, b: DataFrame, batch_id: int) -> None:
-        spark = self.spark
-
         anomalies = b.where(any_flag()).select(
             "vehicle_class", "vendor_id", "pickup_at", "dropoff_at", "pickup_zone_id",
             "dropoff_zone_id", "fare_amount", F.col("audit_total_amount").alias("total_amount"),
@@ -93,25 +106,24 @@ class TripSink:
 
         trips = b.where(F.col("valid")).select(*CANONICAL_COLUMNS)
         dates = [r[0] for r in trips.select(PARTITION_COLUMN).distinct().collect()]
+        unified, fact = self.table("int_trips_unified"), self.table("fct_trips")
+        unified.recover()
+        fact.recover()
         if not dates:
             return
-        unified_path = self.path("int_trips_unified")
+        touched = F.col(PARTITION_COLUMN).isin(dates)
         merged = trips
-        if _exists(spark, unified_path):
-            stored = (spark.read.schema(CANONICAL).parquet(unified_path)
-                      .where(F.col(PARTITION_COLUMN).isin(dates)).select(*CANONICAL_COLUMNS))
-            merged = stored.unionByName(trips)
-        merged_path = scratch_path(spark, f"unified-{batch_id}")
-        keep_first(merged).write.partitionBy(PARTITION_COLUMN).parquet(merged_path)
-        merged = spark.read.parquet(merged_path).select(*CANONICAL_COLUMNS)
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(PARTITION_COLUMN).parquet(unified_path))
-        write_fact(build_fact(merged, self.zones, self.classes), self.path("fct_trips"))
+        if unified.committed():
+            merged = self._stored().where(touched).unionByName(trips)
+        unified.replace(keep_first(merged), {"batch_id": batch_id})
+        # from the stored rows, so that a replay that finds the first table done mends the second
+        fact.replace(build_fact(self._stored().where(touched), self.zones, self.classes), {"batch_id": batch_id})
+
+    def _stored(self) -> DataFrame:
+        return self.spark.read.schema(CANONICAL).parquet(self.path("int_trips_unified")).select(*CANONICAL_COLUMNS)
 
     def _write_batch(self, df: DataFrame, name: str, batch_id: int) -> None:
-        (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-         .parquet(self.path(name)))
+        df.write.mode("overwrite").parquet(self.path(os.path.join(name, f"batch_id={batch_id}")))
 
 
 def start_delivery(spark: SparkSession, feed_paths: dict[str, str], out_dir: str,
@@ -122,16 +134,14 @@ def start_delivery(spark: SparkSession, feed_paths: dict[str, str], out_dir: str
 
     ``available_now`` processes every file present and stops (scheduled
     incremental runs); otherwise the query keeps running and picks up new
-    files as they land. The checkpoint location defaults to the shared
-    checkpoint folder.
+    files as they land. The checkpoint location defaults to ``_checkpoint`` in
+    the output folder; it belongs to that output and must outlive the session.
     """
-    streams = [classified_stream(spark, f, feed_paths[f], max_files_per_trigger)
+    streams = [new_files(spark, f, feed_paths[f], max_files_per_trigger or FILES_PER_BATCH)
                for f in FEED_ORDER if f in feed_paths]
     unioned = functools.reduce(lambda a, b: a.unionByName(b), streams)
-    ckpt = checkpoint_location or os.path.join(checkpoint_dir(spark), "tripflow-delivery",
-                                               os.path.basename(os.path.normpath(out_dir)))
     writer = (unioned.writeStream.foreachBatch(TripSink(spark, out_dir, zones, classes))
-              .option("checkpointLocation", ckpt))
+              .option("checkpointLocation", checkpoint_location or os.path.join(out_dir, "_checkpoint")))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
