@@ -63,6 +63,14 @@ def duration_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "pickup_hour", "pickup_dow", "trip_duration_minutes")
 
 
+def trip_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of each class per day, with the calendar attributes of the day."""
+    m = _models(spark, sf_dir)
+    # counted before the join, which then meets days instead of trips
+    days = m[M.UNIFIED].groupBy("pickup_date", "vehicle_class").agg(F.count(F.lit(1)).alias("trips"))
+    return days.join(m[M.DIM_DATE], F.col("pickup_date") == F.col("date_day")).drop("pickup_date")
+
+
 def fct_trips_incremental(spark: SparkSession, sf_dir: str, ignore_after=None) -> DataFrame:
     """First load up to the cut date, then one faithful delete+insert run."""
     m = _models(spark, sf_dir)
@@ -116,6 +124,7 @@ def registry() -> dict[str, Query]:
         "trip_anomalies": _model(M.ANOMALIES),
         "unlabelled_rejects": unlabelled_rejects,
         "trips_unified": _model(M.UNIFIED),
+        "trip_calendar": trip_calendar,
         "dim_zones": _model(M.DIM_ZONES),
         "fct_trips": _model(M.FACT),
         "fct_trips_incremental": fct_trips_incremental,
