@@ -50,3 +50,41 @@ def test_awkward_rows(spark):
     assert sorted(((r.doc_id, r.n_dropped) for r in got if r.n_dropped), key=str) == [(20, 1), (21, 1), (None, 1)]
     assert all(r.text is None and r.n_lines == 0 for r in got if r.doc_id == 1)
     assert linededup.drop_repeats(empty(spark)).count() == 0
+
+
+def maximal(docs, min_words):
+    """(doc_id, lines deleted): each line's longest match with an earlier place, extended in full."""
+    suffixes, out = [], []
+    for d, t in docs:
+        lines, gone = t.split("\n"), set()
+        for i in range(len(lines)):
+            own = lines[i:]
+            match = max((next((k for k, (x, y) in enumerate(zip(own, s)) if x != y), min(len(own), len(s)))
+                         for s in suffixes), default=0)
+            if sum(len(x.split()) for x in own[:match]) >= min_words:
+                gone |= set(range(i, i + match))
+            suffixes.append(own)
+        out.append((d, sorted(gone)))
+    return out
+
+
+def deleted(spark, docs, *args):
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    return sorted((r.doc_id, [k for a in filter(None, r.runs.split(",")) for k in range(*map(int, a.split("-")))])
+                  for r in linededup.drop_repeats(df, *args).collect())
+
+
+def test_the_tail_of_a_run_goes_with_it(spark):
+    line = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    for sizes in ((60, 10, 10, 15), (30, 30, 5)):
+        run = "\n".join(line(f"s{i}w", n) for i, n in enumerate(sizes))
+        docs = [(1, f"own one\n{run}\nend one"), (2, f"own two\n{run}\nend two")]
+        assert deleted(spark, docs) == [(1, []), (2, list(range(1, len(sizes) + 1)))]
+
+
+def test_equals_maximal_matches(spark):
+    for seed, min_words in ((4, 3), (5, 7), (6, 20)):
+        r = random.Random(seed)
+        line = [" ".join("abcdefgh"[:r.randrange(0, 9)]) for _ in range(5)]
+        docs = [(i, "\n".join(r.choice(line) for _ in range(r.randrange(0, 30)))) for i in range(30)]
+        assert deleted(spark, docs, min_words) == maximal(docs, min_words)

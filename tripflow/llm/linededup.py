@@ -6,12 +6,17 @@ of the two halves. Names are 128-bit hashes instead of dense ranks, so that a ro
 and no shuffle: each document doubles its own sequence, in the tasks that read it, and equal names
 anywhere mean equal lines.
 
-A run counts as repeated if it has at least ``MIN_WORDS`` words. For the suffix at line i let l(i)
-be the fewest lines that have as many. Suffixes that agree in their first l lines lie together in
-the suffix array; they are the interval of longest common prefix l, found by one distributed
-grouping of (l, name). Of an interval the member that comes first in the corpus stays; at each
-other one the l lines are a later copy. The union of these windows over all suffixes is exactly
-the maximal repeated runs of at least ``MIN_WORDS`` words, and those lines are deleted.
+A run counts as repeated if it has at least ``MIN_WORDS`` words. Two windows of each line are
+named: the shortest run of as many words that starts at it, and the shortest that ends at it.
+Whether a run is such a window follows from its own lines, so equal windows, wherever they are,
+are found by one distributed grouping of (lines, name). Of a group the member that comes first in
+the corpus stays; the others are later copies, and their lines are deleted.
+
+The union of these windows is exactly the maximal repeated runs of at least ``MIN_WORDS`` words:
+each window is such a run itself; and of a maximal run [a, b), a line from which ``MIN_WORDS``
+words remain up to b lies in the window that starts at it, any other line in the window that ends
+at b, and both windows lie in [a, b). A run's extent is thus known as a union; the suffix array
+and its common-prefix intervals are not built.
 
 The corpus is ordered by doc_id (null last), then position in the input, then line. A line that is
 deleted thus always remains at the run's first place.
@@ -57,11 +62,16 @@ def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def windows(lines: list[bytes], min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first line, number of lines, name) of the shortest run of ``min_words`` words at each line."""
+    """(first line, number of lines, name) of the shortest runs of ``min_words`` words that start
+    or end at each line, each once."""
     words = np.cumsum([0] + [len(x.split()) for x in lines])
-    end = np.searchsorted(words, words[:-1] + min_words)      # the run is lines [i, end)
-    start = np.flatnonzero(end < len(words))
-    size = end[start] - start
+    at = np.arange(len(lines))
+    end = np.maximum(np.searchsorted(words, words[:-1] + min_words), at + 1)       # the run is lines [i, end)
+    begin = np.minimum(np.searchsorted(words, words[1:] - min_words, "right") - 1, at)  # or [begin, i + 1)
+    first = np.concatenate([at[end < len(words)], begin[begin >= 0]])
+    last = np.concatenate([end[end < len(words)], at[begin >= 0] + 1])
+    start, end = np.unique(np.stack([first, last]), axis=1)
+    size = end - start
     out = np.zeros((len(start), 2), np.uint64)
     if not len(start):
         return start, size, out
