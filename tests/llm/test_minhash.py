@@ -110,3 +110,17 @@ def test_awkward_rows(spark):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 4, 6, 7, 8]
     assert M.near_classes(empty(spark)).count() == 0 and M.keep_one(empty(spark)).count() == 0
+
+
+def test_close_pairs_among_texts_that_share_a_template(spark):
+    r = random.Random(5)
+    vocabulary = [f"{a}{b}" for a in "abcdefgh" for b in "vwxyz"]
+    words = lambda n: [r.choice(vocabulary) for _ in range(n)]
+    template = words(200)
+    own = [words(30) for _ in range(160)]
+    own += [d[:8] + words(22) for d in own[:40]]   # close copies: the similarity of others is below 0.8
+    docs = [(i, " ".join(template + d)) for i, d in enumerate(own)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = brute(docs, M.inverse_frequencies(df))
+    assert [want[160 + i] for i in range(40)] == list(range(40)) and len(set(want.values())) == 160
+    assert {x.doc_id: x.class_id for x in M.near_classes(df).collect()} == want

@@ -12,6 +12,10 @@ How the work is kept in bounds, whatever the groups:
 - a band's bucket emits no pairs of members: its members are compared with a few leaders of the
   bucket. Buckets of up to ``LEADERS + 1`` members are thereby compared in full. The first leader
   is compared first; the others only where they are still in another class;
+- a larger bucket whose members are then still in several classes gets an exact rest: an all-pairs
+  search of these members by prefix filter. In the order of rarity, two texts of similarity t share
+  a shingle before less than t of either's weight remains; pairs of one class are left out, and so
+  are pairs whose weights, or whose shared prefix and the weight behind it, cannot reach t;
 - leaders are found by a partial top-n, links are followed by star contraction, and every join
   on a key that may be hot reads written tables on both sides, so that Spark can split it.
 
@@ -42,6 +46,8 @@ BANDS, ROWS = 14, 4        # a pair of similarity 0.8 shares a band with probabi
 LEADERS = 8                # of a bucket
 WORD_BITS = 18             # entries of the table of document frequencies: 2**18
 TABLE_BITS = 16            # entries of the table of random draws
+RARE_BITS = 20             # entries of the table of rarity, which orders shingles and decides nothing
+SLACK = 1e-6               # relative, for rounding: the prefix filter lets a little more pass
 SEED = 7
 
 
@@ -165,10 +171,14 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(utf8("text").alias("data")).mapInArrow(run, "words binary, data binary")
 
 
-def candidates(rows: DataFrame) -> DataFrame:
-    """(a, b, place): a member and a leader of one of its buckets; place 1 is the first leader."""
+def bucketed(rows: DataFrame) -> DataFrame:
+    """(words, key): the members of each bucket."""
     drawn = rows.groupBy("words").agg(F.first("keys").alias("keys"))
-    members = written(drawn.select("words", F.explode("keys").alias("key")), "near-members")
+    return written(drawn.select("words", F.explode("keys").alias("key")), "near-members")
+
+
+def candidates(members: DataFrame) -> DataFrame:
+    """(a, b, place): a member and a leader of one of its buckets; place 1 is the first leader."""
     order = W.partitionBy("key").orderBy(F.xxhash64("words", "key"), "words")
     first = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= LEADERS)
     shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
@@ -197,6 +207,89 @@ def verified(pairs: DataFrame, texts: DataFrame, idf, least: float = SIMILAR) ->
     return both.mapInArrow(_verifier(idf, least), "a binary, b binary")
 
 
+def unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(words, root): the members of buckets that leaders do not compare in full and that hold several classes."""
+    rooted = written(members.join(roots, F.col("words") == F.col("node"), "left").select(
+        "words", "key", F.coalesce("root", "words").alias("root")), "near-rooted")
+    keys = written(rooted.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+                   .where((F.col("n") > LEADERS + 1) & (F.col("low") != F.col("high"))).select("key"), "near-crowded")
+    return rooted.join(keys, "key", "left_semi").select("words", "root").distinct()
+
+
+def _rarity(idf):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holds = np.zeros(1 << RARE_BITS, np.int64)
+        for batch in batches:
+            for part in slices(batch):
+                for data in part.column("data").to_pylist():
+                    np.add.at(holds, weighted_shingles(data, idf.value)[0] >> np.uint64(64 - RARE_BITS), 1)
+        at = np.flatnonzero(holds)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(holds[at], pa.int64())], names=["at", "n"])
+    return run
+
+
+def prefix(shingles: np.ndarray, weights: np.ndarray, holds: np.ndarray, least: float) -> tuple[np.ndarray, float, float]:
+    """Places of the rarest shingles, up to where less than ``least`` of the weight remains; the
+    weight of all, and what remains."""
+    order = np.lexsort((shingles, holds[shingles >> np.uint64(64 - RARE_BITS)]))
+    remains = np.cumsum(weights[order][::-1], dtype=np.float64)[::-1]   # from each place on
+    remains = np.append(remains, 0.0)
+    n = int(np.argmax(remains < least * (1 - SLACK) * remains[0])) if len(order) else 0
+    return order[:n], float(remains[0]), float(remains[n])
+
+
+def _prefixes(idf, holds, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                row, found, w, of = [], [], [], []
+                for k, data in enumerate(part.column("data").to_pylist()):
+                    shingles, weights = weighted_shingles(data, idf.value)
+                    at, total, remains = prefix(shingles, weights, holds.value, least)
+                    row.append(np.full(len(at), k))
+                    found.append(shingles[at].view(np.int64))
+                    w.append(weights[at].astype(np.float64))
+                    of.append(np.tile([[total], [remains]], len(at)))
+                row, of = np.concatenate(row), np.concatenate(of, 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(found)), part.column("words").take(pa.array(row)),
+                     part.column("root").take(pa.array(row)), pa.array(np.concatenate(w)), pa.array(of[0]), pa.array(of[1])],
+                    names=["shingle", "words", "root", "w", "total", "remains"])
+    return run
+
+
+def rest(members: DataFrame, roots: DataFrame, texts: DataFrame, idf, least: float = SIMILAR) -> DataFrame:
+    """(a, b): pairs of unsettled members in different classes that may be similar. No similar pair is missing."""
+    open_ = written(texts.join(unsettled(members, roots), "words"), "near-rest")
+    counts = open_.select("data").mapInArrow(_rarity(idf), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    holds = np.zeros(1 << RARE_BITS, np.int64)
+    holds[counts.column("at").to_numpy()] = counts.column("n").to_numpy()
+    rows = written(open_.select("words", "root", "data").mapInArrow(
+        _prefixes(idf, texts.sparkSession.sparkContext.broadcast(holds), least),
+        "shingle long, words binary, root binary, w double, total double, remains double"), "near-prefixes")
+    shared = written(rows.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+                     .where("low <> high").select("shingle"), "near-shared")
+    rows = written(rows.join(shared, "shingle", "left_semi"), "near-meeting")
+    side = lambda x: rows.select("shingle", *[F.col(c).alias(f"{x}_{c}") for c in rows.columns if c != "shingle"])
+    t = F.lit(least * (1 - SLACK))
+    met = side("a").join(side("b"), "shingle").where(
+        (F.col("a_words") < F.col("b_words")) & (F.col("a_root") != F.col("b_root"))
+        & (F.least("a_total", "b_total") >= t * F.greatest("a_total", "b_total")))
+    # texts of weights A and B have similarity t if they share t / (1 + t) of A + B
+    may = F.sum(F.least("a_w", "b_w")) + F.first(F.greatest("a_remains", "b_remains"))
+    return written(met.groupBy("a_words", "b_words").agg(
+        may.alias("may"), F.first(F.col("a_total") + F.col("b_total")).alias("both")).where(
+        F.col("may") >= t / (t + 1.0) * F.col("both")).select(F.col("a_words").alias("a"), F.col("b_words").alias("b")),
+        "near-rest-pairs")
+
+
+def more_links(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after further links."""
+    links = written(links, "near-more")
+    return roots if links.isEmpty() else components(
+        roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of the links: root is the smallest node that is connected.
 
@@ -229,19 +322,19 @@ def classes(docs: DataFrame) -> DataFrame:
     idf = sc.broadcast(inverse_frequencies(docs))
     rows = written(docs.select("doc_id", utf8("text").alias("data")).mapInArrow(
         _keys(idf), f"doc_id {kind}, words binary, keys array<long>"), "near-rows")
-    pairs = candidates(rows)
+    members = bucketed(rows)
+    pairs = candidates(members)
     needed = pairs.select(F.explode(F.array("a", "b")).alias("words")).distinct()
     texts = written(_texts(docs).groupBy("words").agg(F.first("data").alias("data")).join(needed, "words"), "near-texts")
-    links = written(verified(pairs.where("place = 1"), texts, idf), "near-first")
+    roots = components(verified(pairs.where("place = 1"), texts, idf))
     more = pairs.where("place > 1")
     if not more.isEmpty():
         # the other leaders, where both are not yet in one class
-        roots = components(links)
         root = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
         apart = more.join(root("a"), "a", "left").join(root("b"), "b", "left").where(
             F.coalesce("a_root", "a") != F.coalesce("b_root", "b"))
-        links = links.unionByName(verified(apart, texts, idf))
-    roots = components(links)
+        roots = more_links(roots, verified(apart, texts, idf))
+        roots = more_links(roots, verified(rest(members, roots, texts, idf), texts, idf))
     return rows.select("doc_id", "words").join(roots, F.col("words") == F.col("node"), "left").select(
         "doc_id", "words", F.coalesce("root", "words").alias("class_words"))
 
