@@ -69,3 +69,23 @@ def test_awkward_rows(spark):
     assert mixing.mix(empty(spark)).count() == 0 and mixing.mixed(empty(spark)).count() == 0
     blank = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     assert [(x.size, x.target, x.taken) for x in mixing.mix(blank).collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_the_order_goes_on_while_a_document_fits(spark):
+    # u is chosen so that the ranks are 1, 2, 3, ...; each long document fits no more, each short one does
+    sizes = [5, 100, 4, 95, 3, 90, 2, 87, 2, 86, 2]
+    odds = [(k + 1) * (n / 1000) / (1 - n / 1000) for k, n in enumerate(sizes)]
+    rows = [("a", n, o / (1 + o)) for n, o in zip(sizes, odds)]
+    df = spark.createDataFrame(rows, "source string, size long, u double")
+    sources = spark.createDataFrame([("a", 100, 1e-3)], "source string, rest long, unit double")
+    ranks = spark.createDataFrame([("a", n, 1e-3, u) for _, n, u in rows], "source string, size long, unit double, u double")
+    taken = mixing.cuts(df, sources).select("taken").first().taken
+    got, left = [], 100
+    want = []
+    for x in sorted(ranks.withColumn("rank", mixing.rank()).collect(), key=lambda x: x["rank"]):
+        if x["size"] <= left:
+            want.append(x["size"])
+            left -= x["size"]
+        if any(x["rank"] > t["after"] and x["size"] <= t["fits"] and x["rank"] <= t["upto"] for t in taken):
+            got.append(x["size"])
+    assert got == want == [5, 4, 3, 2, 2, 2]

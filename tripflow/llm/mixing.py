@@ -7,7 +7,7 @@ whole part of target / source words). The fraction that is left is a fixed-size
 unequal probabilities: a document's inclusion probability ``p`` is proportional to its words, its
 rank the random odds ``u / (1 - u)`` over the inclusion odds ``p / (1 - p)`` (Pareto order
 sampling), and the documents of lowest rank are taken until the words left are used up. A document
-that no longer fits is skipped and the order continues behind it, up to ``ROUNDS`` times.
+that no longer fits is skipped and the order continues behind it, until no document behind fits.
 
 ``u`` is a hash of the document's id and text, so runs agree and no order of rows matters.
 
@@ -36,7 +36,6 @@ WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 WORD = r"[^\x20\x09-\x0D]+"
 
-ROUNDS = 4                 # prefixes of the order that are taken, with one skipped document between two
 CELL_ROWS = 1024          # documents of the largest source in one rank cell, on average
 SMALL_SOURCES = 100_000    # up to so many sources, the table of sources is broadcast
 
@@ -114,7 +113,7 @@ def _cell(cells: int) -> Column:
     return F.least(F.floor(q / (q + 1.0) * cells), F.lit(cells - 1)).cast("long")
 
 
-def cuts(rows: DataFrame, sources: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def cuts(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """``sources`` with ``taken``: what each round takes, as (after, fits, upto).
 
     A document is taken once more if in some round its rank lies beyond ``after``, its size is at
@@ -130,9 +129,10 @@ def cuts(rows: DataFrame, sources: DataFrame, rounds: int = ROUNDS) -> DataFrame
         .where("size > 0").select("source", "size", rank().alias("rank")).withColumn("cell", _cell(cells)), "mix-ranks")
     state = sources.select("source", F.col("rest").alias("left"), F.lit(-1.0).alias("after"))
     taken = []
-    for k in range(rounds):
-        state = written(_prefix(drawn, state, hint), f"mix-round{k}")
-        taken.append(state.select("source", F.struct("after", "fits", "upto").alias("taken"), F.lit(k).alias("round")))
+    while True:
+        # every round skips one document at least of each source that is left, so the rounds end
+        state = written(_prefix(drawn, state, hint), f"mix-round{len(taken)}")
+        taken.append(state.select("source", F.struct("after", "fits", "upto").alias("taken")))
         state = state.where("skip is not null and left_after > 0").select(
             "source", F.col("left_after").alias("left"), F.col("skip").alias("after"))
         if state.isEmpty():
