@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import zlib
+
+import numpy as np
+
+from tripflow.llm import trie
+
+SCHEMA = "conv_id long, turn long, role string, text string, block int, depth string, ids string, n long"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, 1, "d", "i", 2) for r in rows], SCHEMA).repartition(3)
+
+
+def brute(rows):
+    convs = {}
+    for c, t, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.md5(f"{len(role)}:{role}{text}".encode()).hexdigest()
+            convs.setdefault(c, []).append((t is not None, t or 0, digest, role, text))
+    convs = {c: [(role, text) for *_, role, text in sorted(v)] for c, v in convs.items()}
+    members, ends, depth_of = {}, {}, {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        seq = tuple(convs.get(c - int(math.fmod(c, 100)), [])[:h] + own[h:])
+        for d in range(len(seq) + 1):
+            members.setdefault(seq[:d], []).append(c)
+        ends.setdefault(seq, []).append(c)
+    kids = {}
+    for p in members:
+        if p:
+            kids.setdefault(p[:-1], []).append(p)
+    out = []
+    leaves, saved = {}, {}
+    for p in sorted(members, key=len, reverse=True):
+        leaves[p] = sum(leaves[k] for k in kids.get(p, [])) or 1
+        saved[p] = sum(saved[k] for k in kids.get(p, [])) + ((len(members[p]) - 1) * len(p[-1][1]) if p else 0)
+        text = ",".join(map(str, sorted(ends.get(p, []))))
+        out.append((min(members[p]), len(p), min(members[p[:-1]]) if p else None, len(members[p]), len(kids.get(p, [])),
+                    leaves[p], saved[p], hashlib.sha256(text.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def result(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def random_turns(seed, convs):
+    r = random.Random(seed)
+    rows = []
+    for c in r.sample(range(0, 420), convs):
+        for t in range(r.choice([0, 1, 1, 2, 3, 5, 8])):
+            rows.append((c, r.choice([t, t, t, None]), r.choice(["user", "user", None]), r.choice(["a", "b", "ü😀", "", None])))
+    return rows
+
+
+def test_equals_brute_force_for_any_blocks(spark):
+    for seed, convs, blocks in ((1, 30, 1), (2, 120, 3), (3, 200, 7), (4, 60, 40), (5, 200, None)):
+        rows = random_turns(seed, convs)
+        got = trie.prefix_trie(frame(spark, rows), blocks)
+        assert got.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+        assert result(got) == brute(rows)
+
+
+def test_very_many_copies_span_blocks(spark):
+    """Copies of one conversation fill whole blocks, and lists of members span them."""
+    rows = [(c, t, "user", f"turn {t}") for c in range(1000, 1900) if c % 100 for t in range(6)]
+    rows += [(c, t, "user", f"turn {t}") for c in range(3, 9) for t in range(9)]
+    rows += [(c, t, "user", f"other {c}") for c in range(20, 40) for t in range(2)]
+    for blocks in (1, 9, 30):
+        assert result(trie.prefix_trie(frame(spark, rows), blocks)) == brute(rows)
+
+
+def test_awkward_rows(spark):
+    rows = [(None, 0, "user", "x"), (-250, 0, "u", "x"), (-250, 0, "u", "x"), (-201, None, None, None), (-200, 1, "u", "y"),
+            (7, 5, "user", "z" * 100000), (7, 5, "assistant", "z"), (7, None, "system", None), (300, 0, "", ""), (301, 0, "a", "b"),
+            (302, 0, "ab", ""), (303, 0, "", "ab")]
+    for blocks in (1, 4):
+        assert result(trie.prefix_trie(frame(spark, rows), blocks)) == brute(rows)
+    turnless = [(c, 0, "u", "x") for c in range(101, 130) if zlib.crc32(str(c).encode()) % 6]
+    assert result(trie.prefix_trie(frame(spark, turnless), 3)) == brute(turnless)
+    assert len(brute(turnless)) == 1
+    assert trie.prefix_trie(frame(spark, [])).count() == 0
+    assert trie.prefix_trie(frame(spark, [(None, 1, "a", "b")])).count() == 0
+
+
+def test_extents():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 5, 64, 100):
+        v = rng.integers(-1, 6, n)
+        table = trie.RangeMin(v)
+        at, least = rng.integers(0, n, 200), rng.integers(0, 7, 200)
+        for a, d, l, r in zip(at, least, table.left(at, least), table.right(at, least), strict=True):  # noqa: E741
+            assert r == next((x - 1 for x in range(a + 1, n) if v[x] < d), n - 1)
+            assert l == next((x for x in range(a, 0, -1) if v[x] < d), 0)
+        first = np.minimum(at, at[::-1])
+        last = np.maximum(at, at[::-1])
+        assert list(table.least(first, last)) == [v[a:b + 1].min() for a, b in zip(first, last, strict=True)]

@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.files import Store
 from tripflow.session import scratch_path
 
 
@@ -26,6 +27,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made and that no later plan reads any more."""
+    for df in tables:
+        store = Store(df.sparkSession)
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            store.delete(folder)
+
+
 def utf8(col: str | Column) -> Column:
     """The UTF-8 bytes of a text; empty for null."""
     c = F.col(col) if isinstance(col, str) else col

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import linededup, minhash, mixing, pii, quality, sharding, topk, toxicity, warc, wumanber
+from tripflow.llm import linededup, minhash, mixing, pii, quality, sharding, topk, toxicity, trie, urlfilter, warc, whitening, wumanber
 from tripflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,9 +57,22 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def op12_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def registry() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_warc, op2_toxicity, op3_minhash, op4_pii, op5_topk, op6_mixing,
-                                   op7_quality, op8_decontamination, op9_linededup, op10_sharding)}
+                                   op7_quality, op8_decontamination, op9_linededup, op10_sharding,
+                                   op11_trie, op12_urlfilter, op13_whitening)}
 
 
 def oracles() -> dict[str, str]:
