@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
 
+def plain(uri: str) -> str:
+    """A file's path as listings write it and readers take it: decoded, and ``file:/`` for a local one."""
+    return re.sub(r"^file:/+", "file:/", unquote(uri))
+
+
 class Store:
     """The file system of the session's Hadoop configuration, addressed by paths or URIs."""
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import functools
 import operator
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -307,13 +307,13 @@ def reason_column() -> Column:
     return expr
 
 
-def classify(raw: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Raw feed -> staged columns + flags + ``valid`` + ``rejection_reason``.
+def classify(raw: DataFrame, spec: FeedSpec, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw feed -> staged columns + flags + ``valid`` + ``rejection_reason``, and the raw columns to ``keep``.
 
     Narrow (no shuffle). Columns a consumer does not use are pruned by Catalyst,
     so the audit never computes the md5 key and staging never computes flags.
     """
-    return raw.select(*_classified_columns(raw, spec)).withColumn("rejection_reason", reason_column())
+    return raw.select(*_classified_columns(raw, spec), *keep).withColumn("rejection_reason", reason_column())
 
 
 @_memo_columns

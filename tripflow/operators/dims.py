@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripflow.functions.exprs import iso_dow
@@ -63,11 +63,10 @@ def dim_zones(zones: DataFrame) -> DataFrame:
                         borough_group().alias("borough_group"))
 
 
-def dim_date(spark: SparkSession, start: dt.date | str = DATE_START,
-             end: dt.date | str = DATE_END) -> DataFrame:
-    """Calendar attributes for each day in [start, end)."""
+def calendar_attributes() -> list[Column]:
+    """The attributes of ``date_day``."""
     d = F.col("date_day")
-    return date_spine(spark, start, end).select(
+    return [
         d.alias("date_day"),
         F.year(d).alias("year"),
         F.month(d).alias("month"),
@@ -80,7 +79,35 @@ def dim_date(spark: SparkSession, start: dt.date | str = DATE_START,
         (F.weekday(d) >= 5).alias("is_weekend"),
         F.trunc(d, "week").alias("week_start"),
         F.trunc(d, "month").alias("month_start"),
-    )
+    ]
+
+
+def dim_date(spark: SparkSession, start: dt.date | str = DATE_START,
+             end: dt.date | str = DATE_END) -> DataFrame:
+    """Calendar attributes for each day in [start, end)."""
+    return date_spine(spark, start, end).select(*calendar_attributes())
+
+
+def filled_days(days: DataFrame, day: str = "pickup_date", group: str = "vehicle_class", count: str = "trips") -> DataFrame:
+    """A4 bounded by the data: counts per day and group, with 0 for the days of a group without a row,
+    from the first to the last day of all groups.
+
+    Each counted day is spread up to the next one of its group, so no spine is joined. The windows
+    run over counted days: their number is bounded by the calendar, whatever the number of trips.
+    """
+    own, every = Window.partitionBy(group).orderBy(day), Window.partitionBy()
+    bounds = days.select("*", F.lag(day).over(own).alias("_before"), F.lead(day).over(own).alias("_next"),
+                         F.min(day).over(every).alias("_first"), F.max(day).over(every).alias("_last"))
+    start = F.when(F.col("_before").isNull(), F.col("_first")).otherwise(F.col(day))
+    end = F.coalesce(F.date_sub("_next", 1), F.col("_last"))
+    spread = bounds.select(F.explode(F.sequence(start, end, F.expr("INTERVAL 1 DAY"))).alias("date_day"), group,
+                           F.col(day).alias("_day"), count)
+    return spread.select("date_day", group, F.when(F.col("date_day") == F.col("_day"), F.col(count)).otherwise(0).alias(count))
+
+
+def calendar_counts(days: DataFrame) -> DataFrame:
+    """Trips per day and class with the calendar attributes of the day, gaps filled."""
+    return filled_days(days).select(*calendar_attributes(), "vehicle_class", "trips")
 
 
 def dim_vehicle_class(spark: SparkSession) -> DataFrame:

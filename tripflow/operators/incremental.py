@@ -87,15 +87,19 @@ def newest_loaded_date(table: PartitionedTable, target: DataFrame, ignore_after=
 
 
 def upsert_fact_table(spark: SparkSession, path: str, trips: DataFrame, zones: DataFrame,
-                      classes: DataFrame, lookback_days: int = 1, ignore_after=None) -> dict:
+                      classes: DataFrame, lookback_days: int = 1, ignore_after=None, checks=None) -> dict:
     """Full build when no table is committed at ``path``, else one delete+insert run.
 
+    ``checks`` (a ``plans.load_checks.LoadChecks``) counts failures in the jobs that write, and keeps
+    the table's counts as its state.
+
     Returns a small summary dict (mode, max date, batch rows, touched dates; ``finished`` holds the
     summary of a load that an earlier run left open and this one completed first).
     """
     table = PartitionedTable(spark, path, PARTITION_COLUMN)
     if not table.committed():
-        table.create(build_fact(trips, zones, classes))
+        watch, state = checks.of_build() if checks else (None, None)
+        table.create(build_fact(trips, zones, classes), watch, state)
         return {"mode": "full"}
     finished = table.recover()
     done = {"finished": finished} if finished else {}
@@ -111,6 +115,9 @@ def upsert_fact_table(spark: SparkSession, path: str, trips: DataFrame, zones: D
     per_day = {str(r[0]): r[1] for r in batch.groupBy(PARTITION_COLUMN).count().collect()}
     info = {"mode": "incremental", "max_date": newest, "batch_rows": sum(per_day.values()), "dates": sorted(per_day)}
     if per_day:
-        touched = F.col(PARTITION_COLUMN).isin([dt.date.fromisoformat(d) for d in per_day])
-        table.replace(merge_increment(target.where(touched), batch), info)
+        old = target.where(F.col(PARTITION_COLUMN).isin([dt.date.fromisoformat(d) for d in per_day]))
+        watch, state = None, None
+        if checks:
+            old, watch, state = checks.of_load(table.state(), old, info["dates"])
+        table.replace(merge_increment(old, batch), info, watch, state)
     return {**info, **done}

@@ -10,7 +10,11 @@ the load, moves each partition into its place, and removes manifest and folder.
   death between deletion and move, gives the same table.
 
 A table counts as committed from its first whole write on (``_SUCCESS``); a folder without that
-marker is the remains of a first write that died.
+marker is the remains of a first write that died. Between the deletion and the move of a partition
+a reader misses its rows; readers that need one state read between loads.
+
+A load may leave a small *state* beside the rows (``_state.json``), such as counts of its checks. The
+state travels in the manifest, so it always belongs to the last load; a load without one removes it.
 """
 
 from __future__ import annotations
@@ -18,12 +22,14 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tripflow.files import Store
 
-MANIFEST, LOADS, COMMITTED = "_load.json", "_loads", "_SUCCESS"
+MANIFEST, LOADS, COMMITTED, STATE = "_load.json", "_loads", "_SUCCESS", "_state.json"
+Watch = Callable[[DataFrame], DataFrame]
 
 
 class PartitionedTable:
@@ -43,14 +49,32 @@ class PartitionedTable:
         names = (n[len(head):] for n in self.store.names(self.path) if n.startswith(head))
         return sorted(n for n in names if not n.startswith("__HIVE"))
 
-    def _write(self, df: DataFrame, path: str) -> None:
+    def _write(self, df: DataFrame, path: str, watch: Watch | None = None) -> None:
         # rebalance splits a date that holds a third of all rows over tasks, and packs quiet ones
-        (df.hint("rebalance", self.column).write.mode("overwrite")
-         .option("partitionOverwriteMode", "static").partitionBy(self.column).parquet(path))
+        df = df.hint("rebalance", self.column)
+        # what watches the rows comes behind that shuffle, so it runs in the tasks that write
+        (watch(df) if watch else df).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").partitionBy(self.column).parquet(path)
+
+    def create(self, df: DataFrame, watch: Watch | None = None, state: Callable[[str], dict | None] | None = None) -> None:
+        """Write the whole table; what an earlier write left behind goes.
+
+        ``watch`` may add observations to the rows that are written, and ``state(path)`` gives the
+        state from them and the written rows.
+        """
+        self._write(df, self.path, watch)
+        self.keep(state(self.path) if state else None)
+
+    def state(self) -> dict | None:
+        """What the last load left beside the rows; None if it left nothing."""
+        return json.loads(self.store.read_text(self._in(STATE))) if self.store.exists(self._in(STATE)) else None
 
-    def create(self, df: DataFrame) -> None:
-        """Write the whole table; what an earlier write left behind goes."""
-        self._write(df, self.path)
+    def keep(self, state: dict | None) -> None:
+        """Put a state beside the rows, or remove it."""
+        if state is not None:
+            self.store.write_text(self._in(STATE), json.dumps(state))
+        elif self.store.exists(self._in(STATE)):
+            self.store.delete(self._in(STATE))
 
     def recover(self) -> dict | None:
         """Finish a load that has a manifest, and remove the remains of those that have none.
@@ -60,13 +84,13 @@ class PartitionedTable:
         info = None
         if self.store.exists(self._in(MANIFEST)):
             manifest = json.loads(self.store.read_text(self._in(MANIFEST)))
-            self._finish(manifest["load"])
+            self._finish(manifest["load"], manifest.get("state"))
             info = manifest["info"]
         for name in self.store.names(self._in(LOADS)):
             self.store.delete(self._in(LOADS, name))
         return info
 
-    def _finish(self, load: str) -> None:
+    def _finish(self, load: str, state: dict | None) -> None:
         head = f"{self.column}="
         for name in self.store.names(self._in(LOADS, load)):
             if name.startswith(head):
@@ -75,15 +99,19 @@ class PartitionedTable:
         # a first load by replacement commits the table, too
         if not self.committed():
             self.store.write_text(self._in(COMMITTED), "")
+        self.keep(state)
         self.store.delete(self._in(MANIFEST))
         self.store.delete(self._in(LOADS, load))
 
-    def replace(self, df: DataFrame, info: dict) -> None:
+    def replace(self, df: DataFrame, info: dict, watch: Watch | None = None,
+                state: Callable[[str], dict | None] | None = None) -> None:
         """Replace the partitions that ``df`` holds by its rows; ``info`` goes into the manifest.
 
-        ``df`` may read the table itself: it is written before anything is moved.
+        ``df`` may read the table itself: it is written before anything is moved. ``watch`` and
+        ``state`` as in ``create``; ``state`` is given the folder of the new partitions alone.
         """
         load = uuid.uuid4().hex
-        self._write(df, self._in(LOADS, load))
-        self.store.write_text(self._in(MANIFEST), json.dumps({"load": load, "info": info}))
-        self._finish(load)
+        self._write(df, self._in(LOADS, load), watch)
+        found = state(self._in(LOADS, load)) if state else None
+        self.store.write_text(self._in(MANIFEST), json.dumps({"load": load, "info": info, "state": found}))
+        self._finish(load, found)

@@ -11,8 +11,8 @@ runs). ``run`` materialises them the way a production run should at scale:
 3. dimensions are written (all small);
 4. the fact is built from the written unified table with broadcast dimension
    joins, and written partitioned by ``pickup_date`` (full build or
-   delete+insert increment);
-5. the checks run against the written tables.
+   delete+insert increment), its checks counted by the same job (``load_checks``);
+5. the other checks run against the written tables.
 
 Each written table cuts lineage: a lost executor recomputes from the last
 written table, not from the raw files.
@@ -28,9 +28,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tripflow.operators import dims, rejects, staging, unify
 from tripflow.operators.fact import build_fact
 from tripflow.operators.incremental import PARTITION_COLUMN, upsert_fact_table
+from tripflow.operators.partitioned import PartitionedTable
 from tripflow.sources.schemas import CANONICAL, CANONICAL_COLUMNS, FACT, FACT_COLUMNS
 from tripflow.plans import suite as M
 from tripflow.plans.checks import run_checks
+from tripflow.plans.load_checks import LoadChecks
 
 AUDIT = "stg_trip_reject_audit"
 
@@ -104,11 +106,13 @@ def run(spark: SparkSession, raws: dict[str, DataFrame], out_dir: str,
     written = {n: spark.read.parquet(path(n)) for n in (
         M.ANOMALIES, M.STG_ZONES, M.DIM_ZONES, M.DIM_DATE, M.DIM_CLASS, M.DIM_PAYMENT)}
 
+    suite = M.full_suite(as_of)
+    load_checks = LoadChecks(spark, [c for c in suite if c.model == M.FACT], written)
     upsert_fact_table(spark, path(M.FACT), unified, written[M.DIM_ZONES], written[M.DIM_CLASS],
-                      lookback_days=lookback_days, ignore_after=ignore_after)
+                      lookback_days=lookback_days, ignore_after=ignore_after, checks=load_checks)
 
     tables = Models(spark, raws, {**written, M.UNIFIED: unified,
                                   M.FACT: spark.read.schema(FACT).parquet(path(M.FACT)).select(*FACT_COLUMNS)})
-    report = run_checks(spark, tables, M.full_suite(as_of))
+    report = run_checks(spark, tables, suite, load_checks.known(PartitionedTable(spark, path(M.FACT), PARTITION_COLUMN)))
     report.write.mode("overwrite").parquet(path("check_report"))
     return spark.read.parquet(path("check_report"))

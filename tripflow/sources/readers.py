@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripflow.files import plain
 from tripflow.sources.schemas import ZONE_RAW
 
 
@@ -68,13 +69,18 @@ def same_typed(spark: SparkSession, files: list[str]) -> Iterator[tuple[list[str
     yield files, schema
 
 
+def feed_files(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> list[str]:
+    """The files behind paths, folders or globs, sorted. Nothing is read."""
+    return sorted(map(plain, spark.read.format("parquet").schema(schema).load(_as_list(paths)).inputFiles()))
+
+
 def read_feed(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """A1: Parquet glob scan of one raw feed on its declared schema.
 
     Each set of equally typed files is one scan: filters are pushed down and
     columns pruned in each. Sets of equal schema are read together.
     """
-    files = sorted(spark.read.format("parquet").schema(schema).load(_as_list(paths)).inputFiles())
+    files = feed_files(spark, paths, schema)
     if not files:
         return spark.createDataFrame([], schema)
     sets: dict[str, tuple[list[str], T.StructType]] = {}

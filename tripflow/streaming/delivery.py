@@ -38,6 +38,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tripflow.operators.classify import FEEDS, FLAG_COLUMNS, any_flag, classify
 from tripflow.operators.fact import build_fact
 from tripflow.operators.incremental import PARTITION_COLUMN
+from tripflow.operators.ledger import MAX_FILES, load_arrivals
 from tripflow.operators.partitioned import PartitionedTable
 from tripflow.operators.unify import canonical_columns, keep_first
 from tripflow.sources.readers import read_feed
@@ -79,6 +80,10 @@ class TripSink:
         files: dict[str, list[str]] = {}
         for r in batch.select("feed", "path").collect():    # bounded by the files per trigger
             files.setdefault(r.feed, []).append(r.path)
+        self.merge_files(files, batch_id)
+
+    def merge_files(self, files: dict[str, list[str]], batch_id: int) -> None:
+        """Merge the rows of some files; the same call again changes nothing."""
         if not files:
             return
         parts = [classified(self.spark, f, sorted(files[f])) for f in FEED_ORDER if f in files]
@@ -146,6 +151,17 @@ def start_delivery(spark: SparkSession, feed_paths: dict[str, str], out_dir: str
     return writer.start()
 
 
+def deliver_arrived(spark: SparkSession, feed_paths: dict[str, str], out_dir: str, zones: DataFrame,
+                    classes: DataFrame, max_files: int = MAX_FILES) -> list[dict]:
+    """One scheduled run without a stream: take every file that arrived since the last one.
+
+    What was taken is in the ingest ledger (``operators.ledger``) under ``ingest_ledger`` in the output
+    folder. Returns a summary of each load.
+    """
+    sink = TripSink(spark, out_dir, zones, classes)
+    return load_arrivals(spark, feed_paths, sink.path("ingest_ledger"), sink.merge_files, max_files)
+
+
 def reject_audit_from_counts(spark: SparkSession, out_dir: str) -> DataFrame:
     """The audit table over all micro-batches delivered so far (sums of batch counts)."""
     from tripflow.functions.exprs import round_half_away
