@@ -15,13 +15,19 @@ from tripflow.operators import rejects
 from tripflow.operators.dims import calendar_counts
 from tripflow.operators.classify import FEEDS, classify
 from tripflow.operators.fact import build_fact
-from tripflow.operators.incremental import incremental_fact
+from tripflow.operators.incremental import incremental_fact, upsert_fact_table
+from tripflow.operators.ledger import IngestLedger
+from tripflow.operators.partitioned import PartitionedTable
 from tripflow.plans import checks as C
 from tripflow.plans import suite as M
+from tripflow.plans.load_checks import LoadChecks, key_counts
 from tripflow.plans.models import AUDIT, Models, build_models
 from tripflow.session import scratch_path
-from tripflow.sources.fixtures import raw_feeds
+from tripflow.sources import schemas as S
+from tripflow.sources.fixtures import materialize_raw_feeds, raw_feeds
 from tripflow.sources.schemas import CANONICAL
+from tripflow.streaming.dedup import start_dedup
+from tripflow.streaming.delivery import deliver_arrived
 
 # Fixed parameters of the registered queries (the oracle uses the same ones).
 AS_OF = "2026-12-03 00:00:00"          # check clock for future trips
@@ -128,6 +134,57 @@ def _report(kind: str | None) -> Query:
     return q
 
 
+def _delivered(spark: SparkSession, sf_dir: str, files_per_load: int) -> str:
+    """A warehouse folder into which the feeds' files were loaded a few at a time, by the ingest ledger."""
+    m, out = _models(spark, sf_dir), scratch_path(spark, "arrivals")
+    paths = materialize_raw_feeds(spark, sf_dir)
+    deliver_arrived(spark, {f: paths[f] for f in FEEDS}, out, m[M.DIM_ZONES], m[M.DIM_CLASS], files_per_load)
+    return out
+
+
+def fct_trips_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after loads of what had arrived, whatever the dates: equal to the full build."""
+    return spark.read.schema(S.FACT).parquet(f"{_delivered(spark, sf_dir, 4)}/{M.FACT}").select(*S.FACT_COLUMNS)
+
+
+def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledger says of each feed after several loads: rows read, and files that were taken twice."""
+    entries = IngestLedger(spark, f"{_delivered(spark, sf_dir, 3)}/ingest_ledger").entries()
+    per_file = entries.groupBy("feed", "path").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("times"))
+    return per_file.groupBy(F.col("feed").alias("vehicle_class")).agg(
+        F.sum("rows").alias("rows"), F.count_if(F.col("times") > 1).alias("files_taken_twice"))
+
+
+def _loaded_with_checks(spark: SparkSession, sf_dir: str) -> tuple[LoadChecks, PartitionedTable]:
+    """A fact table that was loaded in two steps whose jobs counted its checks."""
+    m = _stored_models(spark, sf_dir)
+    checks = LoadChecks(spark, [c for c in M.full_suite(AS_OF) if c.model == M.FACT], m)
+    table = PartitionedTable(spark, scratch_path(spark, "fact"), "pickup_date")
+    first = m[M.UNIFIED].where(F.col("pickup_date") <= F.lit(INCREMENTAL_CUT).cast("date"))
+    for trips in (first, m[M.UNIFIED]):
+        upsert_fact_table(spark, table.path, trips, m[M.DIM_ZONES], m[M.DIM_CLASS], ignore_after=IGNORE_AFTER, checks=checks)
+    return checks, table
+
+
+def fct_load_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failures of the fact's checks as its loads counted them, without a scan of the fact."""
+    checks, table = _loaded_with_checks(spark, sf_dir)
+    return spark.createDataFrame(sorted(checks.known(table).items()), "check_id string, failures long")
+
+
+def fct_key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and repeated keys of each day of the fact."""
+    return key_counts(_models(spark, sf_dir)[M.FACT])
+
+
+def streamed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the trips that a stream over the feeds' files appended, each once."""
+    paths, out = materialize_raw_feeds(spark, sf_dir), scratch_path(spark, "stream")
+    q = start_dedup(spark, {f: paths[f] for f in FEEDS}, out, max_files_per_trigger=4)
+    q.awaitTermination()
+    return spark.read.schema(CANONICAL).parquet(f"{out}/trips").select("trip_id", "vehicle_class", "pickup_date")
+
+
 def unlabelled_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.unlabelled_rejects(_feeds(spark, sf_dir))
 
@@ -147,6 +204,11 @@ def registry() -> dict[str, Query]:
         "fct_trips": _model(M.FACT),
         "fct_trips_incremental": fct_trips_incremental,
         "fct_trips_incremental_as_of": fct_trips_incremental_as_of,
+        "fct_trips_by_arrival": fct_trips_by_arrival,
+        "ingest_ledger": ingest_ledger,
+        "fct_load_checks": fct_load_checks,
+        "fct_key_counts": fct_key_counts,
+        "streamed_trips": streamed_trips,
         "fare_per_mile_and_tip_pct": fare_per_mile_and_tip_pct,
         "duration_minutes": duration_minutes,
         "surrogate_keys": surrogate_keys,
