@@ -57,6 +57,47 @@ def test_equals_brute_force(spark):
     assert sorted(r.doc_id for r in M.keep_one(df).collect()) == sorted(set(want.values()))
 
 
+def test_document_frequencies(spark):
+    """Counted by hand, without hashing."""
+    docs = corpus()
+    got = M.inverse_frequencies(spark.createDataFrame(docs, "doc_id long, text string"))
+    holds = {}
+    for _, t in docs:
+        for w in set("".join(c if c.isalnum() else " " for c in (t or "").lower()).split()):
+            holds[w] = holds.get(w, 0) + 1
+    entry = {w: int(word_hashes(w.encode())[0] >> np.uint64(64 - M.WORD_BITS)) for w in holds}
+    shared = {}
+    for w, e in entry.items():
+        shared.setdefault(e, []).append(w)
+    for e, words in shared.items():
+        if len(words) == 1:
+            assert abs(got[e] - (1 + np.log((1 + len(docs)) / (1 + holds[words[0]])))) < 1e-5
+    assert sum(len(w) == 1 for w in shared.values()) > 0.95 * len(holds)
+
+
+def test_prefix_filter_loses_no_similar_pair():
+    rng = np.random.default_rng(7)
+    holds = np.zeros(1 << M.RARE_BITS, np.int64)
+    pool = np.unique(rng.integers(0, 1 << 63, 260, dtype=np.uint64))
+    vectors = []
+    for _ in range(150):
+        base = pool[:200] if rng.random() < 0.7 else pool[60:]
+        h = np.sort(rng.choice(base, rng.integers(120, len(base)), replace=False))
+        vectors.append((h, (1 + 3 * (h % np.uint64(997)).astype(np.float64) / 997).astype(np.float32)))
+        np.add.at(holds, h >> np.uint64(64 - M.RARE_BITS), 1)
+    t, found = 0.8, 0
+    kept = [M.prefix(*v, holds, t) for v in vectors]
+    for i, a in enumerate(vectors):
+        for j, b in enumerate(vectors[:i]):
+            if M.similarity(a, b) >= t:
+                found += 1
+                (pa_, ra, ta), (pb, rb, tb) = kept[i], kept[j]
+                behind = dict(zip(b[0][pb].tolist(), rb.tolist(), strict=True))
+                assert any(min(x, behind[s]) >= t / (1 + t) * (1 - M.SLACK) * (ta + tb)
+                           for s, x in zip(a[0][pa_].tolist(), ra.tolist(), strict=True) if s in behind)
+    assert found > 20
+
+
 def test_weighted_jaccard_by_hand():
     idf = np.ones(1 << M.WORD_BITS, np.float32)
     a = M.weighted_shingles(b"a b c d e f a b c d e", idf)   # one shingle twice

@@ -2,7 +2,10 @@
 
 A document is a set of five-word shingles, each with weight TF x IDF. TF is how often the shingle
 occurs; IDF is the mean of the inverse document frequencies of its words, counted over all
-documents in a table of fixed size. ICWS draws, for each of ``BANDS * ROWS`` seeds, one shingle
+documents in a table of ``2**WORD_BITS`` hashed words. (A shingle's own document frequency would set copies
+apart: the few shingles that an edit makes are the rarest of the corpus, so they would outweigh all that
+a large group of copies shares, the more so the larger the corpus. Words that share an entry count as
+one; that moves the logarithm of rare words alone.) ICWS draws, for each of ``BANDS * ROWS`` seeds, one shingle
 and a level such that two documents draw the same with the probability of their weighted Jaccard
 similarity. Documents that agree in all rows of a band are candidates, and candidates are verified
 by their exact weighted Jaccard similarity. Linked documents form classes.
@@ -12,10 +15,11 @@ How the work is kept in bounds, whatever the groups:
 - a band's bucket emits no pairs of members: its members are compared with a few leaders of the
   bucket. Buckets of up to ``LEADERS + 1`` members are thereby compared in full. The first leader
   is compared first; the others only where they are still in another class;
-- a larger bucket whose members are then still in several classes gets an exact rest: an all-pairs
-  search of these members by prefix filter. In the order of rarity, two texts of similarity t share
-  a shingle before less than t of either's weight remains; pairs of one class are left out, and so
-  are pairs whose weights, or whose shared prefix and the weight behind it, cannot reach t;
+- a larger bucket whose members are then still in several classes gets an exact rest: a search of
+  these members by prefix filter. In the order of rarity, all that two texts share is at or behind the
+  first shingle that they share. So texts of weights A and B have similarity t only if both have
+  t / (1 + t) of A + B at or behind it: they meet there, and nowhere else. Texts of a template that are not
+  similar have parts of their own of that weight in front of it, and do not meet;
 - leaders are found by a partial top-n, links are followed by star contraction, and every join
   on a key that may be hot reads written tables on both sides, so that Spark can split it.
 
@@ -37,14 +41,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tripflow.llm.common import slices, utf8, written
+from tripflow.llm.common import dropped, slices, utf8, written
+from tripflow.llm.components import components
 from tripflow.llm.wordhash import digest, mixed, shingle_hashes, word_hashes
 
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 14, 4        # a pair of similarity 0.8 shares a band with probability 0.9994
 LEADERS = 8                # of a bucket
-WORD_BITS = 18             # entries of the table of document frequencies: 2**18
+WORD_BITS = 20             # entries of the table of document frequencies: 2**20
 TABLE_BITS = 16            # entries of the table of random draws
 RARE_BITS = 20             # entries of the table of rarity, which orders shingles and decides nothing
 SLACK = 1e-6               # relative, for rounding: the prefix filter lets a little more pass
@@ -228,33 +233,33 @@ def _rarity(idf):
     return run
 
 
-def prefix(shingles: np.ndarray, weights: np.ndarray, holds: np.ndarray, least: float) -> tuple[np.ndarray, float, float]:
+def prefix(shingles: np.ndarray, weights: np.ndarray, holds: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, float]:
     """Places of the rarest shingles, up to where less than ``least`` of the weight remains; the
-    weight of all, and what remains."""
+    weight from each of them on; and the weight of all."""
     order = np.lexsort((shingles, holds[shingles >> np.uint64(64 - RARE_BITS)]))
     remains = np.cumsum(weights[order][::-1], dtype=np.float64)[::-1]   # from each place on
-    remains = np.append(remains, 0.0)
-    n = int(np.argmax(remains < least * (1 - SLACK) * remains[0])) if len(order) else 0
-    return order[:n], float(remains[0]), float(remains[n])
+    total = float(remains[0]) if len(order) else 0.0
+    n = int((remains >= least * (1 - SLACK) * total).sum())
+    return order[:n], remains[:n], total
 
 
 def _prefixes(idf, holds, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                row, found, w, of = [], [], [], []
+                row, found, behind, of = [], [], [], []
                 for k, data in enumerate(part.column("data").to_pylist()):
                     shingles, weights = weighted_shingles(data, idf.value)
-                    at, total, remains = prefix(shingles, weights, holds.value, least)
+                    at, remains, total = prefix(shingles, weights, holds.value, least)
                     row.append(np.full(len(at), k))
                     found.append(shingles[at].view(np.int64))
-                    w.append(weights[at].astype(np.float64))
-                    of.append(np.tile([[total], [remains]], len(at)))
-                row, of = np.concatenate(row), np.concatenate(of, 1)
+                    behind.append(remains)
+                    of.append(np.full(len(at), total))
+                row = pa.array(np.concatenate(row))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found)), part.column("words").take(pa.array(row)),
-                     part.column("root").take(pa.array(row)), pa.array(np.concatenate(w)), pa.array(of[0]), pa.array(of[1])],
-                    names=["shingle", "words", "root", "w", "total", "remains"])
+                    [pa.array(np.concatenate(found)), part.column("words").take(row), part.column("root").take(row),
+                     pa.array(np.concatenate(of)), pa.array(np.concatenate(behind))],
+                    names=["shingle", "words", "root", "total", "behind"])
     return run
 
 
@@ -266,53 +271,28 @@ def rest(members: DataFrame, roots: DataFrame, texts: DataFrame, idf, least: flo
     holds[counts.column("at").to_numpy()] = counts.column("n").to_numpy()
     rows = written(open_.select("words", "root", "data").mapInArrow(
         _prefixes(idf, texts.sparkSession.sparkContext.broadcast(holds), least),
-        "shingle long, words binary, root binary, w double, total double, remains double"), "near-prefixes")
+        "shingle long, words binary, root binary, total double, behind double"), "near-prefixes")
     shared = written(rows.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"))
                      .where("low <> high").select("shingle"), "near-shared")
     rows = written(rows.join(shared, "shingle", "left_semi"), "near-meeting")
     side = lambda x: rows.select("shingle", *[F.col(c).alias(f"{x}_{c}") for c in rows.columns if c != "shingle"])
-    t = F.lit(least * (1 - SLACK))
+    # texts of weights A and B have similarity t if they share t / (1 + t) of A + B; all that they share
+    # is at or behind the first shingle that they share, in the order of rarity
+    t = least * (1 - SLACK)
     met = side("a").join(side("b"), "shingle").where(
         (F.col("a_words") < F.col("b_words")) & (F.col("a_root") != F.col("b_root"))
-        & (F.least("a_total", "b_total") >= t * F.greatest("a_total", "b_total")))
-    # texts of weights A and B have similarity t if they share t / (1 + t) of A + B
-    may = F.sum(F.least("a_w", "b_w")) + F.first(F.greatest("a_remains", "b_remains"))
-    return written(met.groupBy("a_words", "b_words").agg(
-        may.alias("may"), F.first(F.col("a_total") + F.col("b_total")).alias("both")).where(
-        F.col("may") >= t / (t + 1.0) * F.col("both")).select(F.col("a_words").alias("a"), F.col("b_words").alias("b")),
-        "near-rest-pairs")
+        & (F.least("a_behind", "b_behind") >= F.lit(t / (1 + t)) * (F.col("a_total") + F.col("b_total"))))
+    return written(met.select(F.col("a_words").alias("a"), F.col("b_words").alias("b")).distinct(), "near-rest-pairs")
 
 
 def more_links(roots: DataFrame, links: DataFrame) -> DataFrame:
     """``roots`` after further links."""
     links = written(links, "near-more")
-    return roots if links.isEmpty() else components(
-        roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
-
-
-def components(links: DataFrame) -> DataFrame:
-    """(node, root) of every node of the links: root is the smallest node that is connected.
-
-    Alternating large-star and small-star contraction, until the links no longer change.
-    """
-    links = written(links.select("a", "b").where("a <> b").distinct(), "near-links")
-    state = None
-    while True:
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = written(both.groupBy("a").agg(F.min("b").alias("m")).select(
-            F.col("a").alias("u"), F.least("a", "m").alias("m")), "near-least")
-        large = both.where("b > a").join(least, F.col("a") == F.col("u")).select(
-            F.col("b").alias("a"), F.col("m").alias("b"))
-        large = written(large.where("a <> b").distinct(), "near-large")
-        # small star: every link now goes from a larger to a smaller node
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = written(down.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u"), "near-least")
-        small = down.join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        links = written(small.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct(), "near-links")
-        now = links.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
-        if now == state:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        state = now
+    if links.isEmpty():
+        return roots
+    joined = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
+    dropped(links)
+    return joined
 
 
 def classes(docs: DataFrame) -> DataFrame:
