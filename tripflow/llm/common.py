@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def file_rows(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """``table`` with ``row``: file and index in the file, which name a row in every read of the files."""
+    row = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("index"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(row.alias("row"), *cols)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back.
 

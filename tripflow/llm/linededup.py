@@ -1,30 +1,27 @@
-"""Repeated runs of lines across documents, by prefix doubling over line-ID sequences.
+"""Repeated runs of lines across documents: a suffix array over line-ID sequences.
 
-A document is the sequence of its lines' IDs, and a *suffix* starts at each line. Prefix doubling
-names the first 2^k lines of every suffix: the name of twice as many lines is made from the names
-of the two halves. Names are 128-bit hashes instead of dense ranks, so that a round needs no sort
-and no shuffle: each document doubles its own sequence, in the tasks that read it, and equal names
-anywhere mean equal lines.
+A document is the sequence of its lines' IDs (128-bit digests). Lines that occur once in the corpus are
+in no repeated run, so they part the documents into sequences of lines that do occur elsewhere; sequences
+of less than ``MIN_WORDS`` words hold no run that counts and are left out. Over all sequences
+distributed prefix doubling builds the suffix array (``suffixes``); the longest-common-prefix intervals
+of its rows give for each line the longest run from it on that also starts earlier in the corpus. Runs of
+at least ``MIN_WORDS`` words are deleted in full, so of a repeated run the first occurrence stays and later
+copies go.
 
-A run counts as repeated if it has at least ``MIN_WORDS`` words. Two windows of each line are
-named: the shortest run of as many words that starts at it, and the shortest that ends at it.
-Whether a run is such a window follows from its own lines, so equal windows, wherever they are,
-are found by one distributed grouping of (lines, name). Of a group the member that comes first in
-the corpus stays; the others are later copies, and their lines are deleted.
+The corpus is ordered by doc_id (null last), then position in the input, then line.
 
-The union of these windows is exactly the maximal repeated runs of at least ``MIN_WORDS`` words:
-each window is such a run itself; and of a maximal run [a, b), a line from which ``MIN_WORDS``
-words remain up to b lies in the window that starts at it, any other line in the window that ends
-at b, and both windows lie in [a, b). A run's extent is thus known as a union; the suffix array
-and its common-prefix intervals are not built.
+How the work is kept in bounds: IDs are counted with partial sums, so a line that a third of all rows
+share is one row per task; what is sorted is range-partitioned with places as the last key; texts are
+moved once, to the lines that they lose, always by the same join, whatever the sizes. A document's
+lines are together in one row, as its text is.
 
-The corpus is ordered by doc_id (null last), then position in the input, then line. A line that is
-deleted thus always remains at the run's first place.
+Rows are named by ``row``: file and index in the file (``common.file_rows``), which are the same in each
+read, whatever executors come or go. Documents without such a name are written first.
 
 Defined results: a null text has no lines and stays null; an empty text is one empty line; a run
 that overlaps its own earlier copy (one line repeated many times) is deleted behind its first
 line; rows that repeat are later copies of each other; a document may lose all its lines and then
-has an empty text; an empty table has an empty result.
+has an empty text; an empty table has an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,101 +31,109 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import slices, written
-from tripflow.llm.wordhash import mixed
+from tripflow.llm import suffixes
+from tripflow.llm.common import dropped, slices, written
 
 MIN_WORDS = 50
+PLACES = 40               # bits of a place's number inside a partition
 
-_HALVES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
-
-def line_names(lines: list[bytes]) -> np.ndarray:
-    """The 128-bit ID of each line, as two numbers."""
-    return np.frombuffer(b"".join(hashlib.md5(x).digest() for x in lines), np.uint64).reshape(len(lines), 2)
-
-
-def doubled(names: np.ndarray, half: int) -> np.ndarray:
-    """Names of runs of 2 * half lines, from names of runs of ``half`` lines."""
-    return joined(names[:len(names) - half], names[half:])
-
-
-def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    left = mixed(a * _HALVES + np.uint64(1))
-    # each half of the new name depends on both halves of both names
-    return mixed(left + b * np.uint64(3) + mixed(left[:, ::-1] ^ b[:, ::-1]))
-
-
-def windows(lines: list[bytes], min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first line, number of lines, name) of the shortest runs of ``min_words`` words that start
-    or end at each line, each once."""
-    words = np.cumsum([0] + [len(x.split()) for x in lines])
-    at = np.arange(len(lines))
-    end = np.maximum(np.searchsorted(words, words[:-1] + min_words), at + 1)       # the run is lines [i, end)
-    begin = np.minimum(np.searchsorted(words, words[1:] - min_words, "right") - 1, at)  # or [begin, i + 1)
-    first = np.concatenate([at[end < len(words)], begin[begin >= 0]])
-    last = np.concatenate([end[end < len(words)], at[begin >= 0] + 1])
-    start, end = np.unique(np.stack([first, last]), axis=1)
-    size = end - start
-    out = np.zeros((len(start), 2), np.uint64)
-    if not len(start):
-        return start, size, out
-    names, length = line_names(lines), 1
-    while True:
-        # runs of length .. 2 * length - 1 lines are covered by two runs of ``length`` lines
-        here = (size >= length) & (size < 2 * length)
-        i, n = start[here], size[here]
-        pair = joined(names[i], names[i + n - length])
-        out[here] = joined(pair, np.repeat(n.astype(np.uint64)[:, None], 2, 1))
-        if 2 * length > size.max():
-            return start, size, out
-        names, length = doubled(names, length), 2 * length
-
-
-def _windows(min_words: int):
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Line IDs and numbers of words of each text, as lists."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        digests, words, ends = [], [], [0]
+        for part in slices(batch):
+            for data in part.column("data").to_pylist():
+                lines = data.split(b"\n")
+                digests += [hashlib.md5(x).digest() for x in lines]
+                words += [len(x.split()) for x in lines]
+                ends.append(len(words))
+        halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+        values = pa.StructArray.from_arrays(
+            [pa.array(np.arange(len(words)) - np.repeat(ends[:-1], np.diff(ends)), pa.int32()), pa.array(words, pa.int32()),
+             pa.array(np.ascontiguousarray(halves[:, 0])), pa.array(np.ascontiguousarray(halves[:, 1]))],
+            names=["at", "words", "a", "b"])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)],
+                                         names=["row", "doc_id", "lines"])
+
+
+def runs_of(at: np.ndarray, words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the lines ``at`` (rising) of one document: those in runs of neighbouring lines with at least
+    ``min_words`` words, the index behind their run, and how many lines from each on have ``min_words`` words
+    (0 if the run has fewer from there)."""
+    n = len(at)
+    start = np.append(0, np.flatnonzero(np.diff(at) != 1) + 1)
+    stop = np.append(start[1:], n)
+    total = np.concatenate([[0], np.cumsum(words)])
+    end = np.repeat(stop, stop - start)
+    keep = np.repeat(total[stop] - total[start] >= min_words, stop - start)
+    reached = np.maximum(np.searchsorted(total, total[:-1] + min_words), np.arange(n) + 1)
+    need = np.where(reached <= end, reached - np.arange(n), 0)
+    return np.flatnonzero(keep), end, need
+
+
+def _places(min_words: int):
+    """Documents in the order of the corpus -> their places, numbered in that order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("at", pa.int32()), ("lines", pa.int32()), ("n1", pa.int64()), ("n2", pa.int64())]))
+        base, made = TaskContext.get().partitionId() << PLACES, 0
         for batch in batches:
-            found, totals, ends = [], [], [0]
             for part in slices(batch):
-                for data in part.column("data").to_pylist():
-                    lines = data.split(b"\n") if data is not None else []
-                    start, size, names = windows(lines, min_words)
-                    found.append((start.astype(np.int32), size.astype(np.int32), names.view(np.int64)))
-                    totals.append(len(lines))
-                    ends.append(ends[-1] + len(start))
-            at, size, names = (np.concatenate([f[k] for f in found]) for k in range(3))
-            values = pa.StructArray.from_arrays(
-                [pa.array(at), pa.array(size), pa.array(np.ascontiguousarray(names[:, 0])),
-                 pa.array(np.ascontiguousarray(names[:, 1]))], fields=list(kind.value_type))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), lists],
-                                             names=["row", "doc_id", "runs"])
+                held = []
+                flat, ends = part.column("lines").flatten(), np.asarray(part.column("lines").offsets)
+                at, words, a, b = (flat.field(k).to_numpy() for k in range(4))
+                for k, (i, j) in enumerate(zip((ends[:-1] - ends[0]).tolist(), (ends[1:] - ends[0]).tolist(), strict=True)):
+                    keep, end, need = runs_of(at[i:j], words[i:j], min_words)
+                    if len(keep):
+                        # places of a run are consecutive, and so are the indexes of its lines
+                        number = base + made
+                        made += j - i
+                        held.append((np.full(len(keep), k), number + keep, number + end[keep], a[i:j][keep], b[i:j][keep],
+                                     at[i:j][keep], need[keep]))
+                if held:
+                    row, pos, end, a_, b_, at_, need = (np.concatenate(x) for x in zip(*held, strict=True))
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("row").take(pa.array(row)), pa.array(pos), pa.array(end), pa.array(a_), pa.array(b_),
+                         pa.array(at_, pa.int32()), pa.array(need, pa.int32())],
+                        names=["row", "pos", "end", "a", "b", "at", "need"])
     return run
 
 
-def later_copies(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def later_copies(rows: DataFrame, min_words: int = MIN_WORDS, block: int = suffixes.BLOCK) -> DataFrame:
     """(row, runs): for each row that loses lines, the (at, lines) of its later copies.
 
     ``rows`` has row, doc_id and text.
     """
-    kind = dict(rows.dtypes)["doc_id"]
-    suffixes = written(rows.select("row", "doc_id", F.col("text").cast("binary").alias("data")).mapInArrow(
-        _windows(min_words), f"row long, doc_id {kind}, runs array<struct<at:int,lines:int,n1:long,n2:long>>").select(
-        "row", "doc_id", F.explode("runs").alias("s")).select("row", "doc_id", "s.*"), "line-suffixes")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "at")
-    intervals = written(suffixes.groupBy("lines", "n1", "n2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-                        .where("n > 1").select("lines", "n1", "n2", "first.row", "first.at")
-                        .withColumnsRenamed({"row": "first_row", "at": "first_at"}), "line-intervals")
-    later = suffixes.join(intervals, ["lines", "n1", "n2"]).where("row <> first_row or at <> first_at")
-    return later.groupBy("row").agg(F.collect_list(F.struct("at", "lines")).alias("runs"))
+    types = dict(rows.dtypes)
+    texts = rows.where("text is not null").select("row", "doc_id", F.col("text").cast("binary").alias("data"))
+    docs = written(texts.mapInArrow(_lines, f"row {types['row']}, doc_id {types['doc_id']}, "
+                                            "lines array<struct<at:int,words:int,a:long,b:long>>"), "line-ids")
+    lines = docs.select("row", "doc_id", F.explode("lines").alias("line")).select("row", "doc_id", "line.*")
+    repeated = written(lines.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b"), "line-repeated")
+    kept = lines.join(repeated, ["a", "b"], "left_semi").groupBy("row", "doc_id").agg(
+        F.sort_array(F.collect_list(F.struct("at", "words", "a", "b"))).alias("lines"))
+    kept = written(kept, "line-kept")
+    dropped(docs, repeated)
+    n = kept.agg(F.sum(F.size("lines"))).first()[0] or 0
+    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("row")]
+    places = written(kept.repartitionByRange(suffixes.blocks_for(n, block), *order).sortWithinPartitions(*order).mapInArrow(
+        _places(min_words), f"row {types['row']}, pos long, end long, a long, b long, at int, need int"), "line-places")
+    dropped(kept)
+    ranks = suffixes.suffix_ranks(places, block)
+    array = suffixes.neighbours(places.where("need > 0"), ranks, block)
+    found = suffixes.longest_earlier(array)
+    later = places.select("pos", "row", "at", "need").join(found, "pos").where("match >= need and need > 0")
+    return later.groupBy("row").agg(F.collect_list(F.struct("at", F.col("match").cast("int").alias("lines"))).alias("runs"))
 
 
 def _drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, totals, dropped, spans = [], [], [], []
+        texts, totals, dropped_, spans = [], [], [], []
         for part in slices(batch):
             for text, runs in zip(part.column("text").to_pylist(), part.column("runs").to_pylist(), strict=True):
                 lines = text.split("\n") if text is not None else []
@@ -141,23 +146,25 @@ def _drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 spans.append(",".join(f"{a}-{b}" for a, b in zip(edges[0::2].tolist(), edges[1::2].tolist(), strict=True)))
                 texts.append("\n".join(x for x, g in zip(lines, gone, strict=True) if not g) if text is not None else None)
                 totals.append(len(lines))
-                dropped.append(int(gone.sum()))
+                dropped_.append(int(gone.sum()))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(totals, pa.int64()), pa.array(dropped, pa.int64()),
+            [batch.column("doc_id"), pa.array(totals, pa.int64()), pa.array(dropped_, pa.int64()),
              pa.array(spans, pa.string()), pa.array(texts, pa.string())],
             names=["doc_id", "n_lines", "n_dropped", "runs", "text"])
 
 
-def drop_repeats(docs: DataFrame, min_words: int = MIN_WORDS, stable: bool = False) -> DataFrame:
+def drop_repeats(docs: DataFrame, min_words: int = MIN_WORDS, block: int = suffixes.BLOCK, named: bool = False) -> DataFrame:
     """Per document row: doc_id, n_lines, n_dropped, runs (deleted lines, ``from-to`` with the end
     exclusive) and the text that is left.
 
-    ``stable`` says that ``docs`` gives its rows in one order each time it is read, as files do;
-    otherwise it is written first, so that a row can be told from its copies.
+    ``named`` says that ``docs`` has a column ``row`` that names each row, the same in each read
+    (``common.file_rows``); otherwise the documents are written first.
     """
     kind = dict(docs.dtypes)["doc_id"]
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("string").alias("text"))
-    rows = rows if stable else written(rows, "line-rows")
-    runs = written(later_copies(rows, min_words), "line-runs")
-    return rows.join(runs, "row", "left").select("doc_id", "text", "runs").mapInArrow(
+    text = F.col("text").cast("string").alias("text")
+    rows = docs.select("row", "doc_id", text) if named else written(
+        docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text), "line-rows")
+    runs = written(later_copies(rows, min_words, block), "line-runs")
+    # the same plan at every size: each text is moved once, and nothing is broadcast
+    return rows.join(runs.hint("merge"), "row", "left").select("doc_id", "text", "runs").mapInArrow(
         _drop, f"doc_id {kind}, n_lines long, n_dropped long, runs string, text string")

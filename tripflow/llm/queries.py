@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripflow.llm import linededup, minhash, mixing, pii, quality, sharding, topk, toxicity, trie, urlfilter, warc, whitening, wumanber
-from tripflow.llm.common import table
+from tripflow.llm.common import file_rows, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,7 +50,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.drop_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), stable=True)
+    return linededup.drop_repeats(file_rows(spark, sf_dir, "documents", "doc_id", "text"), named=True)
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
