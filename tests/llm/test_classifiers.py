@@ -88,3 +88,76 @@ def test_awkward_rows(spark):
         assert len(op.classify(docs, none).collect()) == docs.count()
         assert op.classify(empty(spark), none).count() == 0
     assert quality.keep_good(docs, labels(spark, docs)).columns == docs.columns
+
+
+def language(text):
+    """A model of the letters of one text."""
+    import pyarrow as pa
+    out = next(toxicity._count(iter([pa.RecordBatch.from_pydict({"text": [text]})])))
+    counts = np.zeros(toxicity.TRIGRAMS, np.int64)
+    counts[out.column("gram").to_numpy()] = out.column("n").to_numpy()
+    return toxicity.LanguageModel(counts)
+
+
+ENGLISH = ("you are an idiot and an ass or a dumbass and so is that asshole who said shit to me as i hate him it is "
+           "a book of the committee in which all good people stop and think of an answer that will do ") * 30
+
+
+def test_probes_are_restored():
+    r = toxicity.Restorer(language(ENGLISH))
+    hidden = {"a$$": "ass", "@$$": "ass", "4$$": "ass", "@$$hole": "asshole", "dumba$$": "dumbass", "$#!t": "shit", "sh!t": "shit",
+              "iddiioott": "idiot", "id io t": "idiot", "i  d  i  o  t": "idiot", "i\td\ti\to\tt": "idiot", "i d i o t": "idiot",
+              "i.d.i.o.t": "idiot", "1d10t": "idiot", "idiooooot": "idiot", "h8": "hate", "ID10T!!": "idiot"}
+    for written, word in hidden.items():
+        assert r.restore(written) == word, written
+        assert r.restore(f"you are {written} people") == f"you are {word} people", written
+    # plain words, numbers and punctuation stay what they are
+    for plain in ("it is a book", "stop and think", "all good people will stop"):
+        assert r.restore(plain) == plain
+    assert r.restore("Stop! (think) \"good\", people...") == "stop think good people"
+    assert r.restore("455 2024 $5 3.14 $100 -- ... !!") == ""
+    assert r.restore(None) == r.restore("") == r.restore(" \n\t ") == ""
+
+
+def paths(r, token):
+    """Every path through the lattice: (cost, letters)."""
+    out = [(0.0, "")]
+    for options in r.lattice(token):
+        out = [(cost + extra, word if letters == " " and (not word or word[-1] == " ") else word + letters)
+               for cost, word in out for letters, extra in options]
+    found = []
+    for extra, word in out:
+        c = [0, 0, *[toxicity._letter(x) for x in word]]
+        c += [0] if word and c[-1] else []
+        found.append((extra + sum(float(r.cost[x, y, z]) for x, y, z in zip(c, c[1:], c[2:])), word))  # noqa: B905
+    return found
+
+
+def test_viterbi_is_the_best_of_all_paths():
+    r = toxicity.Restorer(language(ENGLISH))
+    rnd = random.Random(4)
+    for _ in range(300):
+        token = "".join(rnd.choice("aidots$@!1048#.+ -éж") for _ in range(rnd.randrange(1, 7)))
+        every = paths(r, token)
+        best = min(every)[0]
+        assert r._decode(token) in {w.strip() for c, w in every if c <= best + 1e-6}, token
+
+
+def test_other_scripts_are_counted_as_they_are_decoded():
+    text = "привет мир καλημέρα 你好"
+    assert [x for x in toxicity.codes(text) if x] == [toxicity._letter(c) for c in text if c != " "]
+
+
+def test_training_rows_are_one_per_id_and_bounded_in_bytes(spark):
+    from tripflow.llm.labelled import training_rows
+    docs = spark.createDataFrame([(i, "x" * 100) for i in range(40)] + [(7, f"copy {k}") for k in range(200)] + [(8, None), (None, "n")],
+                                 "doc_id long, text string").repartition(3)
+    marks = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(7, 0), (3, None)], "doc_id long, quality int")
+    rows = training_rows(docs, marks, "quality", 5, 0).collect()
+    ids = [r.doc_id for r in rows]
+    assert len(ids) == len(set(ids)) and all(zlib.crc32(str(i).encode()) % 5 for i in ids)
+    assert len(ids) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(40))
+    assert {r.doc_id: r.label for r in rows}.get(7, 0.5) == 0.5
+    few = training_rows(docs, marks, "quality", 5, 0, size=1000).collect()
+    assert 0 < sum(len(r.text or "") for r in few) <= 1000
+    assert len(training_rows(docs, marks, "quality", 5, 0, rows=5).collect()) == 5

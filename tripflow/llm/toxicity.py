@@ -1,10 +1,12 @@
 """Toxicity of deobfuscated text: noisy-channel decoding, then a linear score of what it says.
 
-Writers hide words: digits and symbols for letters (``1d10t``), separators inside a word
-(``i.d.i.o.t``, ``i d i o t``), letters repeated (``idiooot``). The channel model lists what each
-written character may stand for; together they are a lattice of letters. A character language
-model, trigrams counted over *all* documents, weighs the paths, and Viterbi search takes the best.
-Words of letters only, which are nearly all, need no decoding.
+Writers hide words: digits and symbols for letters (``1d10t``, ``a$$``), separators inside a word
+(``i.d.i.o.t``, ``i d i o t``, ``id io t``), letters repeated (``idiooot``, ``iddiioott``). The channel model
+lists what each written character may stand for: letters, nothing, or the end of a word, at a cost each;
+together they are a lattice of letters. A character language model, trigrams counted over *all*
+documents, weighs the paths, and Viterbi search takes the best. Words of letters only with at most one
+doubled letter, which are nearly all, need no decoding. A token of digits alone is a number, and so is
+one of digits beside one currency sign.
 
 The restored text is scored by a logistic model on character n-grams (hashed, present or not).
 N-grams are chosen by their likelihood ratio against ``labels.toxic`` on a bounded sample of
@@ -38,12 +40,19 @@ THRESHOLD = 0.3
 # Fixed values of the channel: what a written digit or symbol may stand for
 LOOKS_LIKE = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
-    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i",
+    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "#": "h", "€": "e", "£": "l", "¡": "i",
 }
-SEPARATORS = frozenset(".-_*~^'`,:;/\\#")
+# readings of more than one letter
+SOUNDS_LIKE = {"8": ("ate",), "2": ("to",), "4": ("for",)}
+SEPARATORS = frozenset(".-_*~^'`,:;/\\")
 # Costs in nats: of reading a look-alike as a letter, of leaving out a separator or a repetition,
 # of a separator that does end a word, and of a digit or symbol that does (it stands for itself)
 READ_COST, SKIP_COST, SPLIT_COST, KEEP_COST = 1.0, 0.5, 4.0, 8.0
+# of leaving out the second of two equal letters, a "#", a symbol at the edge of a token ("$" and "@",
+# which are no punctuation, cost more, and all that stands with them), of a space between short pieces that
+# does part words, and of one that does not
+DOUBLE_COST, HASH_COST, EDGE_COST, LETTER_SIGN_COST, SPACE_COST, JOIN_COST = 2.5, 14.0, 0.5, 14.0, 0.0, 1.5
+LETTER_SIGNS = "$@"
 
 # Letters of the language model: word boundary 0, a-z 1..26, Latin-1 letters, any other letter
 _CODE = np.zeros(0x180, np.int64)
@@ -51,6 +60,10 @@ _CODE[ord("a"):ord("z") + 1] = np.arange(1, 27)
 _CODE[0xDF:0xF7] = np.arange(27, 51)
 _CODE[0xF8:0x100] = np.arange(51, 59)
 _CODE[0x100:0x180] = 59
+# further letters of the basic plane, Greek or Chinese say, are one letter of the model; others are none
+_FURTHER = np.array([59 if c >= 0x180 and chr(c).isalpha() else 0 for c in range(0x10000)], np.int64)
+_FURTHER[:0x180] = _CODE
+_CODE = _FURTHER
 LETTERS = 60
 TRIGRAMS = LETTERS ** 3
 
@@ -62,11 +75,15 @@ LEAST_RATIO = 16.0         # likelihood ratio (G squared) of an n-gram that is c
 EPOCHS, RATE, L2 = 800, 1.0, 1e-5
 TOXIC_WEIGHT = 3.0        # of a document of label 1 in the fit, against one of label 0
 
-_SPACED = re.compile(r"(?<![^\s])[^\s](?: [^\s]){2,}(?![^\s])")
-_REPEAT = re.compile(r"([^\W\d_])\1\1")
+# three or more pieces of one or two characters; a letter three times, or two doubled letters
+_SPACED = re.compile(r"(?<!\S)\S{1,2}(?:\s+\S{1,2}){2,}(?!\S)")
+_REPEAT = re.compile(r"([^\W\d_])\1\1|([^\W\d_])\2.*([^\W\d_])\3")
+_SPACES = re.compile(r"\s+")
 _EDGE = "".join(map(chr, list(range(33, 48)) + list(range(58, 65)) + list(range(91, 97)) + list(range(123, 127)))) \
     + "«»“”„‘’…–—¿"
 _STARTS = "".join(c for c in LOOKS_LIKE if not c.isdigit())
+_PLAIN_EDGE = "".join(c for c in _EDGE if c not in LOOKS_LIKE)
+_SIGNS = re.compile("[" + re.escape(LETTER_SIGNS) + "]")
 
 
 def codes(text: str) -> np.ndarray:
@@ -113,7 +130,7 @@ def language_model(docs: DataFrame) -> LanguageModel:
 
 
 def _letter(c: str) -> int:
-    return int(_CODE[ord(c)]) if ord(c) < len(_CODE) else 59 if c.isalpha() else 0
+    return int(_CODE[ord(c)]) if ord(c) < len(_CODE) else 0
 
 
 class Restorer:
@@ -124,47 +141,64 @@ class Restorer:
         self.decode = lru_cache(maxsize=1 << 16)(self._decode)
 
     def lattice(self, token: str) -> list[list[tuple[str, float]]]:
-        """For each written character, what it may stand for and at what cost; '' for nothing."""
+        """For each written character, what it may stand for and at what cost: letters, '' for nothing,
+        or ' ' for the end of a word."""
         out, run = [], 0
+        inner = [k for k, c in enumerate(token) if c.isalnum()]
+        low, high = (inner[0], inner[-1]) if inner else (len(token), -1)
         for k, c in enumerate(token):
             run = run + 1 if k and c == token[k - 1] else 0
             if c.isalpha():
-                # one letter written three times or more may be one or two letters
-                again = run >= 1 and (run >= 2 or token[k + 1:k + 2] == c)
-                out.append([("", 0.0)] if run >= 2 else [(c, 0.0), ("", SKIP_COST)] if again else [(c, 0.0)])
-            else:
-                options = [(x, READ_COST) for x in LOOKS_LIKE.get(c, "")]
-                if c in SEPARATORS or c == " ":
-                    options.append(("", SKIP_COST))
-                elif run:
-                    options.append(("", SKIP_COST))
-                options.append((" ", KEEP_COST if c not in SEPARATORS and c != " " else SPLIT_COST))
-                out.append(options)
+                # of a letter written three times or more one or two are meant; of two one, at a higher cost
+                if run >= 2:
+                    out.append([("", 0.0)])
+                elif run == 1:
+                    out.append([(c, 0.0), ("", SKIP_COST if token[k + 1:k + 2] == c else DOUBLE_COST)])
+                else:
+                    out.append([(c, 0.0)])
+                continue
+            options = [(x, READ_COST) for x in LOOKS_LIKE.get(c, "")] + [(x, 2 * READ_COST) for x in SOUNDS_LIKE.get(c, ())]
+            if c == " ":
+                options.append(("", JOIN_COST))
+            elif c == "#":
+                options.append(("", HASH_COST))
+            elif c in SEPARATORS:
+                options.append(("", SKIP_COST))
+            elif not low <= k <= high:
+                side = token[:low] if k < low else token[high + 1:]
+                options.append(("", LETTER_SIGN_COST if _SIGNS.search(side) else EDGE_COST))
+            elif run:
+                options.append(("", SKIP_COST if c not in LETTER_SIGNS else LETTER_SIGN_COST))
+            options.append((" ", SPACE_COST if c == " " else SPLIT_COST if c in SEPARATORS
+                            else LETTER_SIGN_COST if c in LETTER_SIGNS or c == "#" else KEEP_COST))
+            out.append(options)
         return out
 
     def _decode(self, token: str) -> str:
+        """The best path through the lattice."""
         cost = self.cost
         # state: the last two letters; value: cost so far and the letters, as a linked list
         states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
         for options in self.lattice(token):
             after: dict[tuple[int, int], tuple[float, tuple]] = {}
             for (a, b), (so_far, path) in states.items():
-                for c, extra in options:
-                    if c == "" or (c == " " and b == 0):
-                        key, total, way = (a, b), so_far + extra, path
-                    else:
-                        x = _letter(c)
-                        key, total, way = (b, x), so_far + extra + float(cost[a, b, x]), (path, c)
+                for letters, extra in options:
+                    u, v, total, way = a, b, so_far + extra, path
+                    if letters and not (letters == " " and b == 0):
+                        for c in letters:
+                            x = _letter(c)
+                            total += float(cost[u, v, x])
+                            u, v, way = v, x, (way, c)
+                    key = (u, v)
                     if key not in after or total < after[key][0]:
                         after[key] = (total, way)
             states = after
-        best, path = min(((t + float(cost[a, b, 0]) if b else t, p) for (a, b), (t, p) in states.items()),
-                         key=lambda x: x[0])
+        _, path = min(((t + float(cost[a, b, 0]) if b else t, p) for (a, b), (t, p) in states.items()), key=lambda x: x[0])
         letters = []
         while path:
             path, c = path
             letters.append(c)
-        return "".join(reversed(letters))
+        return "".join(reversed(letters)).strip()
 
     def restore(self, text: str | None) -> str:
         """The lower-case text with its hidden words restored; edge punctuation goes."""
@@ -173,33 +207,36 @@ class Restorer:
         text = text.lower()
         decode = self.decode
         if _SPACED.search(text):
-            text = _SPACED.sub(lambda m: decode(m[0]), text)
-        repeats = _REPEAT.search(text) is not None
+            text = _SPACED.sub(lambda m: decode(_SPACES.sub(" ", m[0])), text)
         out = []
         for w in text.split():
-            if not w.isalpha():
-                core = w.strip(_EDGE)
-                if not core.isalpha():
-                    if not core or not any(map(str.isalpha, core)):
-                        continue
-                    # a look-alike at the edge may belong to the word: once, not as a run
-                    at = w.find(core)
-                    head = w[at - 1] if at and w[at - 1] in _STARTS and (at < 2 or w[at - 2] != w[at - 1]) else ""
-                    w = decode(head + core)
-                else:
-                    at = w.find(core)
-                    head = w[at - 1] if at and w[at - 1] in _STARTS and (at < 2 or w[at - 2] != w[at - 1]) else ""
-                    end = at + len(core)
-                    tail = w[end] if w[end:end + 1] in ("$", "@", "+") and len(w) == end + 1 else ""
-                    w = decode(head + core + tail) if head or tail else core
-                    if repeats and _REPEAT.search(w):
-                        w = decode(w)
-            elif repeats and _REPEAT.search(w):
-                w = decode(w)
-            out.append(w)
+            if w.isalpha():
+                out.append(decode(w) if _REPEAT.search(w) else w)
+                continue
+            core = w.strip(_EDGE)
+            if core.isalpha() and not any(c in w for c in _STARTS):
+                out.append(decode(core) if _REPEAT.search(core) else core)
+            elif any(map(str.isalpha, core)):
+                out.append(decode(_with_signs(w, core)))
+            elif len(w) >= 3 and _SIGNS.search(w) and sum(map(str.isdigit, w)) < 2:
+                out.append(decode(w.strip(_PLAIN_EDGE)))    # symbols alone, as ``@$$``
         return " ".join(out)
 
 
+def _with_signs(token: str, core: str) -> str:
+    """The core of a token with the symbols at its edges that may be letters: runs that hold a letter sign,
+    or one single symbol in front."""
+    at = token.find(core)
+    head, tail = token[:at], token[at + len(core):]
+    head = head[len(head.rstrip("".join(_STARTS))):]
+    tail = tail[:len(tail) - len(tail.lstrip(LETTER_SIGNS + "+!"))]
+    if not _SIGNS.search(head):
+        head = head if len(head) == 1 else ""
+    if not _SIGNS.search(tail):
+        tail = tail if tail == "+" else ""
+    return head + core + tail
+
+
 def gram_hashes(text: str) -> np.ndarray:
     """Hashes of all n-grams of a restored text with a boundary at both ends; may repeat."""
     c = np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), np.uint32)
