@@ -21,6 +21,7 @@ loading; an empty target loads nothing. ``lookback_days`` widens the window,
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,16 +88,17 @@ def newest_loaded_date(table: PartitionedTable, target: DataFrame, ignore_after=
 
 
 def upsert_fact_table(spark: SparkSession, path: str, trips: DataFrame, zones: DataFrame,
-                      classes: DataFrame, lookback_days: int = 1, ignore_after=None, checks=None) -> dict:
+                      classes: DataFrame, lookback_days: int = 1, ignore_after=None, checks=None,
+                      cluster: Sequence[str] = ()) -> dict:
     """Full build when no table is committed at ``path``, else one delete+insert run.
 
     ``checks`` (a ``plans.load_checks.LoadChecks``) counts failures in the jobs that write, and keeps
-    the table's counts as its state.
+    the table's counts as its state. ``cluster`` lays out the rows of a date by these columns.
 
     Returns a small summary dict (mode, max date, batch rows, touched dates; ``finished`` holds the
     summary of a load that an earlier run left open and this one completed first).
     """
-    table = PartitionedTable(spark, path, PARTITION_COLUMN)
+    table = PartitionedTable(spark, path, PARTITION_COLUMN, cluster)
     if not table.committed():
         watch, state = checks.of_build() if checks else (None, None)
         table.create(build_fact(trips, zones, classes), watch, state)

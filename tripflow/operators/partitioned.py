@@ -22,9 +22,10 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripflow.files import Store
 
@@ -33,8 +34,11 @@ Watch = Callable[[DataFrame], DataFrame]
 
 
 class PartitionedTable:
-    def __init__(self, spark: SparkSession, path: str, column: str):
-        self.spark, self.path, self.column = spark, path, column
+    """``cluster`` names columns by which the rows of a partition are laid out: files hold ranges of them and are
+    sorted, so a filter on them skips files and row groups by their statistics."""
+
+    def __init__(self, spark: SparkSession, path: str, column: str, cluster: Sequence[str] = ()):
+        self.spark, self.path, self.column, self.cluster = spark, path, column, list(cluster)
         self.store = Store(spark)
 
     def _in(self, *names: str) -> str:
@@ -50,11 +54,17 @@ class PartitionedTable:
         return sorted(n for n in names if not n.startswith("__HIVE"))
 
     def _write(self, df: DataFrame, path: str, watch: Watch | None = None) -> None:
-        # rebalance splits a date that holds a third of all rows over tasks, and packs quiet ones
-        df = df.hint("rebalance", self.column)
+        if self.cluster:
+            # the last key splits a date and value that hold a third of all rows over tasks
+            df = df.repartitionByRange(self.column, *self.cluster, F.xxhash64(*df.columns))
+        else:
+            # rebalance splits a date that holds a third of all rows over tasks, and packs quiet ones
+            df = df.hint("rebalance", self.column)
         # what watches the rows comes behind that shuffle, so it runs in the tasks that write
-        (watch(df) if watch else df).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static").partitionBy(self.column).parquet(path)
+        df = watch(df) if watch else df
+        if self.cluster:
+            df = df.sortWithinPartitions(self.column, *self.cluster)
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(self.column).parquet(path)
 
     def create(self, df: DataFrame, watch: Watch | None = None, state: Callable[[str], dict | None] | None = None) -> None:
         """Write the whole table; what an earlier write left behind goes.

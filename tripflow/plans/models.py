@@ -35,6 +35,8 @@ from tripflow.plans.checks import run_checks
 from tripflow.plans.load_checks import LoadChecks
 
 AUDIT = "stg_trip_reject_audit"
+# the fact's rows of a date lie in the order of the zone that queries filter by
+CLUSTER = ("pickup_zone_id",)
 
 
 class Models(Mapping):
@@ -109,7 +111,8 @@ def run(spark: SparkSession, raws: dict[str, DataFrame], out_dir: str,
     suite = M.full_suite(as_of)
     load_checks = LoadChecks(spark, [c for c in suite if c.model == M.FACT], written)
     upsert_fact_table(spark, path(M.FACT), unified, written[M.DIM_ZONES], written[M.DIM_CLASS],
-                      lookback_days=lookback_days, ignore_after=ignore_after, checks=load_checks)
+                      lookback_days=lookback_days, ignore_after=ignore_after, checks=load_checks,
+                      cluster=CLUSTER)
 
     tables = Models(spark, raws, {**written, M.UNIFIED: unified,
                                   M.FACT: spark.read.schema(FACT).parquet(path(M.FACT)).select(*FACT_COLUMNS)})
