@@ -36,6 +36,56 @@ def _strip_fraction_zeros(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, "0+$", ""), r"\.$", ".0")
 
 
+def _shortest_exponent_text(x: Column, s: Column) -> Column:
+    """``-d.ddde+XX`` of a double with as few digits as read back as the same double.
+
+    ``s`` is Spark's text (``-d.dddE-XX``), whose digits read back, but which may have more of them than are
+    needed. For each number of digits the two neighbours of these digits are tried, the nearer first,
+    and the first one that reads back is taken.
+    """
+    digits = F.regexp_replace(F.regexp_extract(s, r"^-?([0-9.]+)E", 1), r"\.", "")
+    power = F.regexp_extract(s, r"E(-?[0-9]+)$", 1).cast("int")
+    a = F.abs(x)
+    # whole numbers are taken exactly, in two halves of 63 bits: Spark's own digits of these are rounded
+    half = float(1 << 63)
+    high = F.floor(a / half)
+    low = (a - high.cast("double") * half).cast("bigint")
+    held = (a >= 1e16) & (a < 8e34)
+    whole = F.when(held, high.cast("decimal(17,0)") * F.lit(str(1 << 63)).cast("decimal(19,0)") + low.cast("decimal(20,0)"))
+    long_text = whole.cast("string")
+    power = F.when(held, F.length(long_text) - 1).otherwise(power)
+    digits = F.when(held, long_text).otherwise(digits)
+    # normal numbers need 15 to 17 digits, or fewer and zeros; those near zero any number
+    sizes = F.when(a < 2.3e-308, F.sequence(F.lit(1), F.lit(17))).otherwise(F.array(F.lit(15), F.lit(16), F.lit(17)))
+    # each step is bound to a name (an array of one), so that it is computed once
+    parts = F.array(F.struct(digits.alias("d"), power.alias("p"), a.alias("a"), sizes.alias("n")))
+
+    def neighbours(part: Column) -> Column:
+        def cut(n: Column) -> Column:
+            k = F.least(n, F.length(part["d"]))
+            low = F.substr(part["d"], F.lit(1), k).cast("bigint")
+            up = F.when(F.substr(part["d"], k + 1, F.lit(1)) >= "5", 1).otherwise(0)
+            # the nearer first
+            return F.transform(F.array(low + up, low + 1 - up), lambda v: F.concat(v.cast("string"), F.lit("E"), (part["p"] - k + 1).cast("string")))
+        return F.filter(F.flatten(F.transform(part["n"], cut)), lambda t: t.cast("double") == part["a"])
+
+    best = F.get(F.flatten(F.transform(parts, neighbours)), F.lit(0))
+    return F.get(F.transform(F.array(best), lambda t: _exponent_form(t, s)), F.lit(0))
+
+
+def _exponent_form(best: Column, s: Column) -> Column:
+    """``123000E5`` -> ``1.23e+10``, with the sign of ``s``."""
+    # the digits without trailing zeros, and the power of the first of them
+    whole = F.regexp_extract(best, r"^([0-9]+)E", 1)
+    first = F.regexp_extract(best, r"E(-?[0-9]+)$", 1).cast("int") + F.length(whole) - 1
+    kept = F.regexp_replace(whole, "0+$", "")
+    tail = F.substr(kept, F.lit(2))
+    mantissa = F.concat(F.substr(kept, F.lit(1), F.lit(1)), F.when(tail == "", "").otherwise(F.concat(F.lit("."), tail)))
+    sign = F.when(first < 0, "e-").otherwise("e+")
+    return F.concat(F.when(s.startswith("-"), "-").otherwise(""), mantissa, sign, 
+                    F.when(F.abs(first) < 10, "0").otherwise(""), F.abs(first).cast("string"))
+
+
 def double_text(c: Column | str) -> Column:
     """Text of a double as the reference engine prints it.
 
@@ -49,17 +99,7 @@ def double_text(c: Column | str) -> Column:
     x = _col(c).cast("double")
     s = x.cast("string")
     a = F.abs(x)
-    sci = F.regexp_replace(s, r"\.0E", "E")           # 1.0E-7 -> 1E-7
-    sci = F.regexp_replace(sci, "E([0-9]{2,})$", "e+$1")
-    sci = F.regexp_replace(sci, "E-([0-9])$", "e-0$1")
-    sci = F.regexp_replace(sci, "E-([0-9]{2,})$", "e-$1")
-    # Java 17 sometimes prints a 17th digit where 16 round-trip (3.6400538952240912E16):
-    # prefer the 16-digit form whenever it reads back as the same double. Exact for
-    # |x| < 1e16; beyond, a last-digit tie can still differ (JDK 19+ prints shortest).
-    c16 = F.format_string("%.15e", x)
-    c16 = F.concat(F.regexp_replace(F.regexp_extract(c16, r"^(-?[0-9.]+)e", 1), r"\.?0+$", ""),
-                   F.lit("e"), F.regexp_extract(c16, r"e([+-][0-9]+)$", 1))
-    sci = F.when(c16.try_cast("double") == x, c16).otherwise(sci)
+    sci = _shortest_exponent_text(x, s)
     return (F.when(x.isNull(), F.lit(None).cast("string"))
             .when(~s.contains("E"),
                    F.when(s == "NaN", F.lit("nan"))
