@@ -22,7 +22,6 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -45,19 +44,56 @@ _STAT_AT = _SHAPE_AT + (1 << SHAPE_BITS)
 _ENDING = re.compile(r"\W+\Z")
 
 
-def statistics(text: str, words: list[str], counts: Counter) -> list[float]:
+class Words:
+    """What the features need of a word, worked out once: a row of numbers for each of about ``KEPT`` words."""
+
+    KEPT = 1 << 19        # about 85 MB
+    INDEX, LENGTH, LETTERS, UPPER, DIGITS, ALONE, TAIL, SHAPE = range(8)
+
+    def __init__(self):
+        self.at: dict[str, int] = {}
+        self.rows = np.zeros((1024, 8), np.int64)
+
+    def numbers(self, counts: Counter) -> np.ndarray:
+        """A row for each word of ``counts``, in its order."""
+        new = list(set(counts).difference(self.at))
+        if new and len(self.at) + len(new) > self.KEPT:
+            self.at.clear()
+            new = list(counts)
+        if new:
+            first = len(self.at)
+            while first + len(new) > len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[first:first + len(new)] = [self._row(w) for w in new]
+            self.at.update(zip(new, range(first, first + len(new)), strict=True))
+        return self.rows[np.fromiter(map(self.at.__getitem__, counts), np.int64, len(counts))]
+
+    @staticmethod
+    def _row(word: str) -> tuple[int, ...]:
+        stem, shape = word, -1
+        if not word.isalpha():
+            end = _ENDING.search(word)
+            if end:
+                stem = word[:end.start()]
+                shape = _SHAPE_AT + (zlib.crc32(end[0][:4].encode("utf-8", "surrogatepass")) & ((1 << SHAPE_BITS) - 1))
+        a, b, c = (ord(x) for x in ("\0\0" + word)[-3:])
+        return (zlib.crc32(stem.lower().encode("utf-8", "surrogatepass")) & ((1 << WORD_BITS) - 1), len(word),
+                sum(map(str.isalpha, word)), sum(map(str.isupper, word)), sum(map(str.isdigit, word)),
+                not any(map(str.isalnum, word)), (a << 42) + (b << 21) + c, shape)
+
+
+def statistics(text: str, words: list[str], counts: Counter, letters: int, upper: int, digits: int, solid: int,
+               alone: int, tails: int) -> list[float]:
     """Structure statistics in [0, 1] and, last, the metadata."""
     n, size = max(1, len(words)), max(1, len(text))
-    joined = "".join(words)
-    letters = sum(map(str.isalpha, joined)) if joined else 0
-    upper = sum(map(str.isupper, joined)) if joined else 0
-    digits = sum(map(str.isdigit, joined)) if joined else 0
-    solid = max(1, len(joined))
+    solid = max(1, solid)
     lines = text.split("\n")
-    line_counts = Counter(lines)
-    alone = sum(c for w, c in counts.items() if not any(map(str.isalnum, w)))
-    longest_run = max((sum(1 for _ in g) for _, g in groupby(words)), default=0)
-    same_next = sum(map(str.__eq__, words, words[1:]))
+    # neighbouring equal words, as numbers
+    number = {w: k for k, w in enumerate(counts)}
+    at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+    turns = np.flatnonzero(at[1:] != at[:-1])
+    longest_run = int(np.diff(np.concatenate([[-1], turns, [len(at) - 1]])).max()) if len(at) else 0
+    same_next = max(0, len(at) - 1 - len(turns))
     return [
         1 - letters / solid,                               # symbols and digits
         upper / max(1, letters),
@@ -67,10 +103,10 @@ def statistics(text: str, words: list[str], counts: Counter) -> list[float]:
         max(counts.values(), default=0) / n,
         min(1.0, longest_run / 16),
         same_next / n,
-        1 - len(line_counts) / len(lines),                 # repeated lines
+        1 - len(set(lines)) / len(lines),                  # repeated lines
         min(1.0, solid / n / 16),                          # length of a word
         min(1.0, n / len(lines) / 128),                    # words in a line
-        len({w[-3:] for w in counts}) / max(1, len(counts)),
+        tails / max(1, len(counts)),
         min(1.0, math.log2(1 + n) / 16),                   # metadata: words, characters, lines
         min(1.0, math.log2(1 + size) / 20),
         min(1.0, math.log2(len(lines)) / 12),
@@ -81,29 +117,23 @@ STATS = 15
 FEATURES = _STAT_AT + STATS * (BINS + 1)
 
 
+_WORDS = Words()      # of this Python worker
+
+
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Indexes (each once) and values of a document's vector."""
     text = text or ""
     words = text.split()
     counts = Counter(words)
-    weight: dict[int, float] = {}
-    mask, shape_mask = (1 << WORD_BITS) - 1, (1 << SHAPE_BITS) - 1
-    endings: dict[str, int] = {}
-    for w, c in counts.items():
-        if not w.isalpha():
-            end = _ENDING.search(w)
-            if end:
-                endings[end[0][:4]] = endings.get(end[0][:4], 0) + c
-                w = w[:end.start()]
-        i = zlib.crc32(w.lower().encode()) & mask
-        weight[i] = weight.get(i, 0) + c
+    times = np.fromiter(counts.values(), np.int64, len(counts))
+    rows = _WORDS.numbers(counts)
+    total = lambda column: int(times @ rows[:, column])
     n = max(1, len(words))
-    for e, c in endings.items():
-        i = _SHAPE_AT + (zlib.crc32(e.encode()) & shape_mask)
-        weight[i] = weight.get(i, 0) + c
-    idx = np.fromiter(weight.keys(), np.int64, len(weight))
-    val = np.sqrt(np.fromiter(weight.values(), np.float64, len(weight)) / n)
-    stats = np.array(statistics(text, words, counts))
+    shaped = rows[:, Words.SHAPE] >= 0
+    idx, where = np.unique(np.concatenate([rows[:, Words.INDEX], rows[shaped, Words.SHAPE]]), return_inverse=True)
+    val = np.sqrt(np.bincount(where, np.concatenate([times, times[shaped]]), len(idx)) / n)
+    stats = np.array(statistics(text, words, counts, *map(total, (Words.LETTERS, Words.UPPER, Words.DIGITS, Words.LENGTH, Words.ALONE)),
+                                len(np.unique(rows[:, Words.TAIL]))))
     # a value of 0 has a bin of its own, the others are binned by their square root
     bins = np.where(stats > 0, 1 + np.minimum(BINS - 1, (np.sqrt(np.clip(stats, 0, 1)) * BINS).astype(np.int64)), 0)
     at = _STAT_AT + np.arange(STATS) * (BINS + 1) + bins
