@@ -161,3 +161,48 @@ def test_training_rows_are_one_per_id_and_bounded_in_bytes(spark):
     few = training_rows(docs, marks, "quality", 5, 0, size=1000).collect()
     assert 0 < sum(len(r.text or "") for r in few) <= 1000
     assert len(training_rows(docs, marks, "quality", 5, 0, rows=5).collect()) == 5
+
+
+def plain_features(text):
+    """The features, straight from their definition: {index: value}."""
+    from collections import Counter
+    from itertools import groupby
+    words, lines = text.split(), text.split("\n")
+    counts, weight = Counter(words), {}
+    for w, c in counts.items():
+        end = "" if w.isalpha() else w[len(w.rstrip("".join(x for x in set(w) if not (x.isalnum() or x == "_")))):]
+        i = zlib.crc32(w[:len(w) - len(end)].lower().encode()) % (1 << quality.WORD_BITS)
+        weight[i] = weight.get(i, 0) + c
+        if end:
+            i = (1 << quality.WORD_BITS) + zlib.crc32(end[:4].encode()) % (1 << quality.SHAPE_BITS)
+            weight[i] = weight.get(i, 0) + c
+    n, all_ = max(1, len(words)), "".join(words)
+    solid, letters = max(1, len(all_)), sum(map(str.isalpha, all_))
+    log = np.log2
+    stats = [1 - letters / solid, sum(map(str.isupper, all_)) / max(1, letters), sum(map(str.isdigit, all_)) / solid,
+             sum(not any(map(str.isalnum, w)) for w in words) / n, 1 - len(counts) / n, max(counts.values(), default=0) / n,
+             min(1, max((len(list(g)) for _, g in groupby(words)), default=0) / 16), sum(a == b for a, b in zip(words, words[1:])) / n,  # noqa: B905
+             1 - len(set(lines)) / len(lines), min(1, solid / n / 16), min(1, n / len(lines) / 128),
+             len({w[-3:] for w in counts}) / max(1, len(counts)), min(1, log(1 + n) / 16), min(1, log(1 + max(1, len(text))) / 20),
+             min(1, log(len(lines)) / 12)]
+    out = {i: np.sqrt(c / n) for i, c in weight.items()}
+    at = (1 << quality.WORD_BITS) + (1 << quality.SHAPE_BITS)
+    for k, s in enumerate(stats):
+        b = 1 + min(quality.BINS - 1, int(np.sqrt(s) * quality.BINS)) if s > 0 else 0
+        out[at + k * (quality.BINS + 1) + b] = 1 / np.sqrt(len(stats))
+    return out
+
+
+def test_features_equal_their_definition(monkeypatch):
+    monkeypatch.setattr(quality, "_WORDS", quality.Words())
+    monkeypatch.setattr(quality.Words, "KEPT", 40)        # the table of words is emptied again and again
+    rnd = random.Random(9)
+    texts = ["", " \n ", "a", "a a a a", "é!! é!! ...", "x\n\nx\n", "Word, word. word_ (word) 12 3,4", "é" * 5000 + " 😀 ñ!?"]
+    texts += ["\n".join(" ".join("".join(rnd.choice("abAB1.,!_é") for _ in range(rnd.randrange(1, 5))) for _ in range(rnd.randrange(8)))
+                        for _ in range(rnd.randrange(1, 12))) for _ in range(80)]
+    for t in texts:
+        idx, val = quality.features(t)
+        assert len(set(idx.tolist())) == len(idx)
+        got, want = dict(zip(idx.tolist(), val.tolist(), strict=True)), plain_features(t)
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got), t
+    assert all((quality.features(None)[k] == quality.features("")[k]).all() for k in (0, 1))

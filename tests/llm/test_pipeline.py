@@ -36,7 +36,7 @@ def test_queries_are_registered():
     import __spark_entry__ as E
     names = set(E.queries())
     assert {"pipeline", *queries.registry()} <= names
-    assert {n.split("_")[0] for n in queries.registry()} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.registry()} == {f"op{k}" for k in range(1, 14)}
     assert "tripflow.llm" in sys.modules
 
 
@@ -45,3 +45,28 @@ def test_oracles(spark):
     con = O.duck(SF)
     for name in queries.oracles():
         assert O.compare(spark, SF, name, con)["match"], name
+
+
+def test_awkward_rows_go_through_all_stages(spark, tmp_path):
+    """Nulls, empty and very long texts, copies, repeated rows and clashing columns; and no rows at all."""
+    from .helpers import awkward, empty, labels
+    docs = awkward(spark, [(50 + k, f"plain words number {k} " * 30) for k in range(12)])
+    for name, rows in (("some", docs), ("none", empty(spark))):
+        d = tmp_path / name
+        rows.write.parquet(str(d / "documents.parquet"))
+        labels(spark, docs).write.parquet(str(d / "labels.parquet"))
+        spark.createDataFrame([("a", "one two three"), ("b", None), (None, "x y")], "item_id string, text string").write.parquet(str(d / "benchmark.parquet"))
+        stored = spark.read.parquet(str(d / "documents.parquet"))
+        at = stored
+        for k, (_, stage) in enumerate(P.STAGES):
+            out = stage(spark, at, str(d))
+            assert k == len(P.STAGES) - 1 or out.schema.names == docs.schema.names
+            out.write.parquet(str(d / str(k)))
+            at = spark.read.schema(out.schema).parquet(str(d / str(k)))
+            ids = [r.doc_id for r in at.select("doc_id").collect()]
+            assert set(ids) <= {r.doc_id for r in stored.select("doc_id").collect()}
+            if k == 1:
+                assert len(ids) == len(set(ids))        # copies are gone
+            if k == 2:
+                assert 4 not in ids                     # it is an item of the benchmark
+        assert name == "some" or not ids

@@ -10,7 +10,7 @@ from tripflow.llm import topk
 
 def brute(rows, k=20, every=20):
     ok = [(r, i, [math.floor(64 * x) for x in v]) for r, (i, v) in enumerate(rows)
-          if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+          if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
     for r, i, v in ok:
         if i % every:

@@ -124,3 +124,22 @@ def test_components_equal_union_find(spark):
             root |= dict.fromkeys(group, min(group))
     assert got == {x: v for x, v in root.items() if x != v}
     assert components.components(df.limit(0)).count() == 0
+
+
+def test_sql_agrees_on_links(spark, tmp_path):
+    """The SQL for the query, on pages whose links are absolute or start with a slash."""
+    import duckdb
+
+    from tripflow.llm.queries import oracles, registry
+    canon = lambda x: f'<html><link rel="canonical" href="{x}"></html>'
+    rows = [*[(i, u, None) for i, u in PLAIN], (30, "http://a.net/1", canon("https://b.net/2#top")), (31, "http://b.net/2", canon("/3")),
+            (32, "https://b.net/3", '<meta http-equiv="refresh" content="0;url=//shop.com/de/">'), (33, "http://c.net", canon("http://any.org/x")),
+            (34, "http://c.net/", canon("http://shop.com/de/2")), (35, "http://d.net/", "<!-- " + canon("http://shop.com/de/2") + " -->"),
+            (36, "http://e.net/", "<script>" + canon("http://shop.com/de/2") + "</script>")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = con.execute(f"select page_id, host, path, rule, verdict from ({oracles()['op12_urlfilter']})").fetchall()
+    got = result(registry()["op12_urlfilter"](spark, str(tmp_path)))
+    assert got == sorted(want, key=str)
+    assert {r[0]: r[4] for r in got}[30] == "block" and {r[0]: r[4] for r in got}[33] == "allow"

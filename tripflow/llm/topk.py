@@ -12,8 +12,8 @@ The k best of each pair of blocks, k rows per query and candidate block, are the
 
 Arithmetic is exact: integers, in double precision while products fit, else in Python integers.
 
-Defined results: vectors that are null, empty, or hold a null or non-finite component take no part,
-nor do rows with a null id; a shorter vector counts as padded with zeros; rows that repeat are
+Defined results: vectors that are null or hold a null or non-finite component take no part,
+nor do rows with a null id; a shorter vector, an empty one too, counts as padded with zeros; rows that repeat are
 candidates of their own, and a query's own row alone is left out; equal scores and ids rank by
 position in the input; components and scores beyond 64 bits count as the largest number of 64
 bits; an empty table has an empty result.
@@ -48,7 +48,7 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     whole = F.transform(x, lambda v: F.floor(v * F.lit(float(scale))).cast("double"))
     sound = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))))
     return vectors.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"),
-                          F.when(sound & (F.size("embedding") > 0), whole).alias("x")).where(
+                          F.when(sound, whole).alias("x")).where(
         F.col("x").isNotNull() & F.col("vec_id").isNotNull())
 
 
