@@ -9,6 +9,7 @@ fault-tolerant location on a real cluster.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,19 +20,21 @@ JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables.
+    """The shared folder for intermediate tables: the context's checkpoint folder, or ``spark.checkpoint.dir``.
 
-    It is the checkpoint folder of the context, or ``spark.checkpoint.dir``. Where neither is set,
-    it is set to a folder beside the warehouse (``spark.sql.warehouse.dir``), which every executor
-    reaches, too. A machine-local temporary folder is never used: it would not survive the loss of
-    an executor.
+    Where neither is set, a local session gets a folder beside its warehouse
+    (``spark.sql.warehouse.dir``). On a cluster nothing is known that every executor reaches and that
+    survives the loss of one, so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = (spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
-            or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_tripflow_scratch"))
+    conf = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
+    if not conf:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
+        conf = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_tripflow_scratch")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
