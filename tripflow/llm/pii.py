@@ -4,15 +4,17 @@ Candidates come from patterns: the base ones, and broader ones (written-out e-ma
 IPv6 addresses, shorter card numbers, phone numbers without a country code). Labelers vote on each
 candidate: +1 (personal), -1 (not), 0 (no opinion):
 
-    pattern    did a base pattern with its check match, or only a broader one
-    structure  check digits (Luhn), parts of an address in range, number of digits
-    gazetteer  known ends of domains, issuers of cards, area codes, address blocks
+    pattern    did a base pattern match (a broader one says nothing)
+    structure  check digits (Luhn), parts of an address in range, form of the name in an address
+    gazetteer  ends of domains, issuers of cards with their lengths, country and area codes, address blocks
     context    words before the candidate that announce it, or announce something else
     boundary   does it stand alone, or inside a longer token
     filler     counting or constant digits, as in templates
 
-Expectation-maximisation over the patterns of votes estimates how reliable each labeler is, for
-either truth, without any labels. The posteriors train a logistic span classifier on votes, kind
+No labeler looks at what another one looks at, as the estimate takes them for independent. Expectation-
+maximisation over the patterns of votes estimates how reliable each labeler is for each kind and
+either truth, without any labels; where a kind has few candidates, its estimate leans on that of all
+kinds. The posteriors train a logistic span classifier on votes, kind
 and length. Both see only a histogram of at most a few thousand cells, however large the corpus,
 so they run on the driver; all work on texts and spans runs in Spark.
 
@@ -42,6 +44,7 @@ THRESHOLD = 0.5
 CONTEXT = 40              # code points before a candidate that the context labeler reads
 LABELERS = ("pattern", "structure", "gazetteer", "context", "boundary", "filler")
 EM_ROUNDS, FIT_ROUNDS = 60, 400
+LEAN = 8.0                # candidates of a kind that outweigh what is known of all kinds
 
 
 @dataclass(frozen=True)
@@ -70,11 +73,18 @@ PATTERNS = (
             r"[0-9]{3}[\x20.-][0-9]{4}"),
 )
 
-# Gazetteers and context words of the labelers
-DOMAIN_ENDS = ("com", "org", "net", "edu", "gov", "io", "co", "info", "de", "fr", "es", "uk", "eu", "ch", "at", "it", "nl")
-CARD_ISSUERS = "^(?:4|5[1-5]|2[2-7]|3[47]|30|36|38|6)"
-AREA_CODES = "^(?:1|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|7|8[1246]|9[0-58])"
-OPEN_BLOCKS = r"^(?:0|127|255)\."
+# Gazetteers and context words of the labelers. Generic ends of domains (a country's has two
+# letters); prefixes and lengths that issuers of cards use; country codes; area codes and exchanges of
+# the numbering plan in which ten digits are written without a country code; address blocks of no host
+DOMAIN_ENDS = ("com", "org", "net", "edu", "gov", "mil", "int", "info", "biz", "name", "pro", "aero", "coop", "museum", "jobs",
+               "mobi", "travel", "tel", "cat", "asia", "post", "xxx", "app", "dev", "cloud", "online", "site", "shop", "blog")
+NO_DOMAIN_ENDS = ("test", "example", "invalid", "localhost", "local")
+CARD_ISSUERS = ("^(?:4(?:[0-9]{12}|[0-9]{15}|[0-9]{18})|5[1-5][0-9]{14}|2(?:22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720)[0-9]{12}|"
+                "3[47][0-9]{13}|3(?:0[0-5]|[689][0-9])[0-9]{11,16}|35(?:2[89]|[3-8][0-9])[0-9]{12,15}|"
+                "6(?:011|4[4-9][0-9]|5[0-9]{2}|2[0-9]{2})[0-9]{12,15})$")
+COUNTRY_CODES = "^(?:1|2[07]|2[1-689][0-9]|3[0-469]|3[578][0-9]|4[013-9]|42[0-9]|5[1-8]|5[09][0-9]|6[0-6]|6[7-9][0-9]|7|8[1246]|8[058][0-9]|9[0-58]|9[679][0-9])"
+AREA_CODES = "^[2-9][0-8][0-9][2-9]"
+OPEN_BLOCKS = r"^(?:0|127|255|22[4-9]|23[0-9])\."
 CUES = {
     "email": "mail|contact|write to|kontakt|correo|courriel|adresse|reach",
     "ip": r"\bip\b|address|server|host|login|adresse|direcci",
@@ -160,22 +170,27 @@ def voted(found: DataFrame) -> DataFrame:
     before = F.lower("before")
     last = F.lower(F.regexp_extract("match", "([A-Za-z0-9-]+)$", 1))
     gazetteer = _by_kind({
-        "email": _vote(last.isin(*DOMAIN_ENDS), last.rlike("^[0-9-]+$")),
+        "email": _vote(last.isin(*DOMAIN_ENDS) | last.rlike("^[a-z]{2}$"), last.isin(*NO_DOMAIN_ENDS) | ~last.rlike("^[a-z]{2,24}$")),
         "ip": _vote(F.lit(False), F.col("match").rlike(OPEN_BLOCKS)),
-        "card": _vote(F.col("digits").rlike(CARD_ISSUERS), F.col("digits").rlike("^[019]")),
-        "phone": _vote(F.col("digits").rlike(AREA_CODES), F.col("digits").rlike("^0{3}")),
+        "card": _vote(F.col("digits").rlike(CARD_ISSUERS), ~F.col("digits").rlike(CARD_ISSUERS)),
+        "phone": _vote(F.when(base, F.col("digits").rlike(COUNTRY_CODES)).otherwise(F.col("digits").rlike(AREA_CODES)),
+                       F.when(base, ~F.col("digits").rlike(COUNTRY_CODES)).otherwise(~F.col("digits").rlike(AREA_CODES))),
     })
     cue = {k: before.rlike(v) for k, v in CUES.items()}
     counter = {k: before.rlike(v) for k, v in COUNTER_CUES.items()}
     filler = F.col("digits").rlike(r"^(\d)\1{7,}$") | F.col("digits").rlike("^(?:0?123456789|9876543210)")
     joined = F.right("before", F.lit(1)).rlike(r"[\p{L}\p{N}_]") | F.col("after").rlike(r"[\p{L}\p{N}_]")
+    # a name of up to 64 characters without dots at its ends or in a row; digits in groups of two to four
+    name = F.regexp_extract("match", r"^([A-Za-z0-9._%+-]+)", 1)
+    neat = (F.length(name) <= 64) & (F.length("match") <= 254) & ~name.rlike(r"^\.|\.$|\.\.")
+    grouped = F.col("sound") & F.col("match").rlike(r"[0-9][\x20().-]+[0-9]")
     votes = {
-        "pattern": _vote(base & F.col("sound"), ~F.col("sound")),
+        "pattern": _vote(base),
         "structure": _by_kind({
-            "email": _vote(F.length("match") <= 254, F.length("match") > 320),
+            "email": _vote(neat, ~neat),
             "ip": _vote(F.col("sound"), ~F.col("sound")),
             "card": _vote(luhn, ~luhn),
-            "phone": _vote(F.col("n").between(10, 13), ~F.col("n").between(7, 15))}),
+            "phone": _vote(grouped, ~F.col("sound"))}),
         "gazetteer": gazetteer,
         "context": _by_kind({k: _vote(cue[k], counter[k]) for k in KINDS}),
         "boundary": _vote(~joined, joined),
@@ -192,7 +207,7 @@ class SpanModel:
     """What is learned: reliabilities of the labelers, and the weights of the span classifier."""
 
     prior: np.ndarray         # [kind]: share of personal data among candidates
-    reliability: np.ndarray   # [labeler, truth, vote + 1]
+    reliability: np.ndarray   # [kind, labeler, truth, vote + 1]
     kind_weight: np.ndarray   # [kind]
     vote_weight: np.ndarray   # [labeler, vote + 1]
     size_weight: np.ndarray   # [kind, size bin]
@@ -220,16 +235,21 @@ def estimate(cells: list[tuple]) -> SpanModel:
     # start from the majority; the pseudo-counts say that a labeler is more often right than wrong
     post = 1 / (1 + np.exp(-(v - 1).sum(1).astype(float)))
     pseudo = np.array([[2.0, 1.0, 0.5], [0.5, 1.0, 2.0]])
-    prior, theta = np.full(len(KINDS), 0.5), np.tile(pseudo / pseudo.sum(1, keepdims=True), (len(LABELERS), 1, 1))
+    prior = np.full(len(KINDS), 0.5)
+    theta = np.tile(pseudo / pseudo.sum(1, keepdims=True), (len(KINDS), len(LABELERS), 1, 1))
     for _ in range(EM_ROUNDS if len(cells) else 0):
+        seen = np.zeros_like(theta)
         for truth, weight in ((0, (1 - post) * n), (1, post * n)):
-            for vote in range(3):
-                theta[:, truth, vote] = ((v == vote) * weight[:, None]).sum(0) + pseudo[truth, vote]
-        theta /= theta.sum(2, keepdims=True)
+            for i in j:
+                np.add.at(seen, (k, i, truth, v[:, i]), weight)
+        pooled = seen.sum(0) + pseudo
+        pooled /= pooled.sum(2, keepdims=True)
+        theta = seen + LEAN * pooled
+        theta /= theta.sum(3, keepdims=True)
         for i in range(len(KINDS)):
             prior[i] = ((post * n)[k == i].sum() + 1) / (n[k == i].sum() + 2)
         log_odds = np.log(prior[k]) - np.log(1 - prior[k]) + (
-            np.log(theta[j, 1, v]) - np.log(theta[j, 0, v])).sum(1)
+            np.log(theta[k[:, None], j, 1, v]) - np.log(theta[k[:, None], j, 0, v])).sum(1)
         post = 1 / (1 + np.exp(-np.clip(log_odds, -30, 30)))
     weights = [np.zeros(len(KINDS)), np.zeros((len(LABELERS), 3)), np.zeros((len(KINDS), 5))]
     squares = [np.full_like(w, 1e-8) for w in weights]
