@@ -76,9 +76,11 @@ EPOCHS, RATE, L2 = 800, 1.0, 1e-5
 TOXIC_WEIGHT = 3.0        # of a document of label 1 in the fit, against one of label 0
 
 # three or more pieces of one or two characters; a letter three times, or two doubled letters
-_SPACED = re.compile(r"(?<!\S)\S{1,2}(?:\s+\S{1,2}){2,}(?!\S)")
-_REPEAT = re.compile(r"([^\W\d_])\1\1|([^\W\d_])\2.*([^\W\d_])\3")
+_SPACED = re.compile(r"(?<!\S)\S{1,2}(?:\s+\S{1,2}){2,15}(?!\S)")
+_REPEAT = re.compile(r"([^\W\d_])\1(?:\1|.{0,14}([^\W\d_])\2)")
 _SPACES = re.compile(r"\s+")
+_THRICE = re.compile(r"(.)\1\1")
+LONGEST = 48              # characters that are decoded together
 _EDGE = "".join(map(chr, list(range(33, 48)) + list(range(58, 65)) + list(range(91, 97)) + list(range(123, 127)))) \
     + "«»“”„‘’…–—¿"
 _STARTS = "".join(c for c in LOOKS_LIKE if not c.isdigit())
@@ -138,7 +140,7 @@ class Restorer:
 
     def __init__(self, model: LanguageModel):
         self.cost = model.cost
-        self.decode = lru_cache(maxsize=1 << 16)(self._decode)
+        self._short = lru_cache(maxsize=1 << 15)(self._decode)
 
     def lattice(self, token: str) -> list[list[tuple[str, float]]]:
         """For each written character, what it may stand for and at what cost: letters, '' for nothing,
@@ -174,6 +176,12 @@ class Restorer:
             out.append(options)
         return out
 
+    def decode(self, token: str) -> str:
+        """The best reading of a token; a long one is read in pieces, so that memory and time are bounded."""
+        if len(token) <= LONGEST:
+            return self._short(token)
+        return "".join(self._short(token[k:k + LONGEST]) for k in range(0, len(token), LONGEST))
+
     def _decode(self, token: str) -> str:
         """The best path through the lattice."""
         cost = self.cost
@@ -217,22 +225,23 @@ class Restorer:
             if core.isalpha() and not any(c in w for c in _STARTS):
                 out.append(decode(core) if _REPEAT.search(core) else core)
             elif any(map(str.isalpha, core)):
-                out.append(decode(_with_signs(w, core)))
-            elif len(w) >= 3 and _SIGNS.search(w) and sum(map(str.isdigit, w)) < 2:
+                core = _with_signs(w, core)
+                out.append(decode(core) if not core.isalpha() or _REPEAT.search(core) else core)
+            elif 3 <= len(w) <= LONGEST and _SIGNS.search(w) and not _THRICE.search(w) and sum(map(str.isdigit, w)) < 2:
                 out.append(decode(w.strip(_PLAIN_EDGE)))    # symbols alone, as ``@$$``
         return " ".join(out)
 
 
 def _with_signs(token: str, core: str) -> str:
     """The core of a token with the symbols at its edges that may be letters: runs that hold a letter sign,
-    or one single symbol in front."""
+    or one single symbol in front. A symbol three times in a row is no letter."""
     at = token.find(core)
     head, tail = token[:at], token[at + len(core):]
     head = head[len(head.rstrip("".join(_STARTS))):]
     tail = tail[:len(tail) - len(tail.lstrip(LETTER_SIGNS + "+!"))]
-    if not _SIGNS.search(head):
+    if not _SIGNS.search(head) or _THRICE.search(head):
         head = head if len(head) == 1 else ""
-    if not _SIGNS.search(tail):
+    if not _SIGNS.search(tail) or _THRICE.search(tail):
         tail = tail if tail == "+" else ""
     return head + core + tail
 
