@@ -145,6 +145,9 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, redir
     if links.isEmpty():
         return df.select("page_id", "host", "path", "rule", F.coalesce("ruling", F.lit(ALLOW)).alias("verdict"))
     blocked = written(blocked_aliases(links, rules), "blocked").withColumn("hit", F.lit(BLOCK))
-    open_ = F.when(F.col("ruling").isNull(), alias_of(F.col("url")))   # null where a rule decides: no partner
-    return df.withColumn("alias", open_).join(blocked, "alias", "left").select(
+    # where a rule decides, or a URL has no alias, the key is one that no alias has, another for each row, as
+    # null keys would all meet in one task
+    spread = F.concat(F.unhex(F.md5(F.monotonically_increasing_id().cast("string"))), F.lit(bytearray(1)))
+    key = F.coalesce(F.when(F.col("ruling").isNull(), alias_of(F.col("url"))), spread)
+    return df.withColumn("alias", key).join(blocked, "alias", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("ruling", "hit", F.lit(ALLOW)).alias("verdict"))

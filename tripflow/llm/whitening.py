@@ -1,6 +1,6 @@
 """Whitening of embeddings: centred covariance, its leading components, and the projection on them.
 
-Three passes over the vectors, each a scan whose tasks send numbers of a vector's size alone:
+Three passes over the vectors, each one scan whose tasks send numbers of a vector's size alone:
 1. number of vectors and exact integer sums of each component;
 2. the centred covariance, summed over tasks by (row, column) of its upper half;
 3. the covariance of the whitened vectors, which measures the result.
@@ -33,6 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.llm.common import written
 from tripflow.llm.eigen import leading
 
 SCALE, OFFSET = 64, 1_000_000
@@ -120,7 +121,8 @@ class Centre:
 def centre(vectors: DataFrame) -> Centre | None:
     """Count and sums of the vectors of the most frequent width; None if no vector takes part."""
     parts = vectors.select("embedding").mapInArrow(_sums, "width int, dim int, n long, total string")
-    per = parts.groupBy("width", "dim").agg(F.sum("n").alias("n"), F.sum(F.col("total").cast("decimal(38,0)")).alias("total"))
+    per = written(parts.groupBy("width", "dim").agg(
+        F.sum("n").alias("n"), F.sum(F.col("total").cast("decimal(38,0)")).alias("total")), "whitening-sums")
     most = per.where("dim = -1").orderBy(F.desc("n"), F.desc("width")).select("width", "n").first()
     if most is None or not most.width:
         return None
