@@ -3,6 +3,12 @@
 Each stage takes the documents that its predecessor kept and returns those that it keeps, with the
 same columns; the last returns the shard of each document. Between two stages the documents are
 written as Parquet and read again, so a lost executor costs one stage's tasks at most.
+
+Defined results: a null text is judged as an empty one; texts without words are near copies of each
+other, so one of them stays, and they hold no benchmark window; a text of white space has size 0 and
+the mix does not take it; of copies and of rows that repeat the one of smallest doc_id stays, a null id
+last; columns beyond those of ``documents`` are carried along whatever their names; an empty table
+has an empty result.
 """
 
 from __future__ import annotations
