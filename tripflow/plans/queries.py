@@ -144,12 +144,12 @@ def _delivered(spark: SparkSession, sf_dir: str, files_per_load: int) -> str:
 
 def fct_trips_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact after loads of what had arrived, whatever the dates: equal to the full build."""
-    return spark.read.schema(S.FACT).parquet(f"{_delivered(spark, sf_dir, 4)}/{M.FACT}").select(*S.FACT_COLUMNS)
+    return spark.read.schema(S.FACT).parquet(f"{_delivered(spark, sf_dir, 10)}/{M.FACT}").select(*S.FACT_COLUMNS)
 
 
 def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the ledger says of each feed after several loads: rows read, and files that were taken twice."""
-    entries = IngestLedger(spark, f"{_delivered(spark, sf_dir, 3)}/ingest_ledger").entries()
+    entries = IngestLedger(spark, f"{_delivered(spark, sf_dir, 7)}/ingest_ledger").entries()
     per_file = entries.groupBy("feed", "path").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("times"))
     return per_file.groupBy(F.col("feed").alias("vehicle_class")).agg(
         F.sum("rows").alias("rows"), F.count_if(F.col("times") > 1).alias("files_taken_twice"))
