@@ -136,7 +136,7 @@ def test_a_file_written_anew_is_a_new_arrival(spark, tmp_path):
     ledger = IngestLedger(spark, str(tmp_path / "ledger"))
     files = arrived_files(spark, {"yellow": f"{folder}/yellow"})
     assert files.columns == ["feed", "path", "length", "modified"] and ledger.pending(files).count() == 1
-    f = files.selectExpr("feed", "path", "length", "cast(modified as string) modified").first().asDict()
+    f = files.first().asDict()
     ledger.finish(ledger.begin([f]), {f["path"]: 1}, [])
     assert ledger.pending(files).count() == 0 and ledger.open_load() is None
     os.utime(f"{folder}/yellow/a.parquet", (1_700_000_000, 1_700_000_000))

@@ -34,7 +34,7 @@ from tripflow.sources.malformed import split_readable
 from tripflow.sources.schemas import RAW_SCHEMAS
 
 FILE_KEY = ["feed", "path", "length", "modified"]
-ENTRY = "feed string, path string, length long, modified timestamp, rows long, status string"
+ENTRY = "feed string, path string, length long, modified long, rows long, status string"
 LOADED, UNREADABLE = "loaded", "unreadable"
 NOTE = "_open.json"
 # files that one load takes, whose names the driver holds
@@ -42,9 +42,10 @@ MAX_FILES = 1000
 
 
 def arrived_files(spark: SparkSession, feed_paths: Mapping[str, str]) -> DataFrame:
-    """(feed, path, length, modified) of the Parquet files present; contents are not read."""
+    """(feed, path, length, modified) of the Parquet files present; contents are not read. ``modified`` is in
+    microseconds, the same number in a session of any time zone."""
     parts = [spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select(
-        F.lit(feed).alias("feed"), "path", "length", F.col("modificationTime").alias("modified"))
+        F.lit(feed).alias("feed"), "path", "length", F.unix_micros("modificationTime").alias("modified"))
         for feed, path in sorted(feed_paths.items())]
     out = parts[0]
     for p in parts[1:]:
@@ -93,9 +94,7 @@ class IngestLedger:
         bad = set(unreadable)
         entries = [(f["feed"], f["path"], f["length"], f["modified"], rows.get(f["path"]),
                     UNREADABLE if f["path"] in bad else LOADED) for f in load["files"]]
-        df = self.spark.createDataFrame(entries, ENTRY.replace("modified timestamp", "modified string")).withColumn(
-            "modified", F.col("modified").cast("timestamp"))
-        df.coalesce(1).write.mode("overwrite").parquet(self._in(f"load={load['load']}"))
+        self.spark.createDataFrame(entries, ENTRY).coalesce(1).write.mode("overwrite").parquet(self._in(f"load={load['load']}"))
         self.store.delete(self._in(NOTE))
 
 
@@ -112,9 +111,8 @@ def load_arrivals(spark: SparkSession, feed_paths: Mapping[str, str], ledger_pat
         load, resumed = ledger.open_load(), True
         if load is None:
             resumed = False
-            # oldest first; the time as text with its fraction, so that it is compared exactly later
-            rows = (ledger.pending(arrived_files(spark, feed_paths)).orderBy("modified", "path").limit(max_files)
-                    .select("feed", "path", "length", F.col("modified").cast("string").alias("modified")).collect())
+            # oldest first
+            rows = ledger.pending(arrived_files(spark, feed_paths)).orderBy("modified", "path").limit(max_files).select(*FILE_KEY).collect()
             if not rows:
                 return done
             load = ledger.begin([r.asDict() for r in rows])
