@@ -81,3 +81,18 @@ def test_fixture_counts_and_plan(spark):
     assert plan_nodes(fact, "BroadcastHashJoin") == 3
     assert plan_nodes(fact, "SortMergeJoin") == 0
     assert plan_nodes(fact, "Exchange") == 1           # the dedup shuffle only
+
+
+def test_filled_days_keep_every_trip_day_and_fill_gaps(spark):
+    from tripflow.operators.dims import calendar_counts, filled_days
+    d = dt.date
+    days = spark.createDataFrame([(d(2023, 11, 28), "yellow", 2), (d(2023, 12, 1), "green", 1), (d(2023, 12, 3), "yellow", 5)],
+                                 "pickup_date date, vehicle_class string, trips long")
+    got = {(r.date_day, r.vehicle_class): r.trips for r in filled_days(days).collect()}
+    every = [d(2023, 11, 28) + dt.timedelta(k) for k in range(6)]
+    assert set(got) == {(x, c) for x in every for c in ("yellow", "green")}
+    assert {k: v for k, v in got.items() if v} == {(d(2023, 11, 28), "yellow"): 2, (d(2023, 12, 1), "green"): 1, (d(2023, 12, 3), "yellow"): 5}
+    # outside the calendar dimension, too, days have their attributes
+    row = calendar_counts(days).where("date_day = date '2023-11-29'").first()
+    assert (row.year, row.day_name, row.trips, row.week_start) == (2023, "Wednesday", 0, d(2023, 11, 27))
+    assert filled_days(days.limit(0)).count() == 0

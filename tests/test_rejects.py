@@ -105,3 +105,19 @@ def test_audit_is_one_scan_per_feed(spark):
     # the audit never computes the surrogate key
     assert "md5" not in plan
     assert rejects.reject_audit(feeds).where(F.col("total_rows") > 0).count() == 3
+
+
+def test_audit_sql_of_an_empty_feed(spark):
+    """Both sides have a row of a class whose feed is empty."""
+    import oracle_compare as O
+    from tripflow.plans.oracle import oracle_sql
+    from tripflow.sources.fixtures import feed_sql
+    feeds = {k: v for k, v in raw_feeds(spark, SF_SMALL).items() if k != "zone"} | {"hvfhv": empty(spark, "hvfhv")}
+    got = sorted(map(tuple, rejects.reject_audit(feeds).collect()))
+    feed = feed_sql("hvfhv", "duckdb")
+    sql = oracle_sql()["reject_audit"]
+    assert feed in sql
+    want = O.duck(SF_SMALL).execute(sql.replace(feed, f"select * from ({feed}) where false")).df()
+    want = sorted(tuple(None if v != v else v for v in r) for r in want[rejects.reject_audit(feeds).columns].itertuples(index=False))
+    assert [r[0] for r in got] == ["green", "hvfhv", "yellow"]
+    assert [tuple(map(str, r)) for r in got] == [tuple(map(str, r)) for r in want]
