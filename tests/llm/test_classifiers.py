@@ -193,9 +193,7 @@ def plain_features(text):
     return out
 
 
-def test_features_equal_their_definition(monkeypatch):
-    monkeypatch.setattr(quality, "_WORDS", quality.Words())
-    monkeypatch.setattr(quality.Words, "KEPT", 40)        # the table of words is emptied again and again
+def test_features_equal_their_definition():
     rnd = random.Random(9)
     texts = ["", " \n ", "a", "a a a a", "é!! é!! ...", "x\n\nx\n", "Word, word. word_ (word) 12 3,4", "é" * 5000 + " 😀 ñ!?"]
     texts += ["\n".join(" ".join("".join(rnd.choice("abAB1.,!_é") for _ in range(rnd.randrange(1, 5))) for _ in range(rnd.randrange(8)))
