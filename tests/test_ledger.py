@@ -189,3 +189,40 @@ def test_build_leaves_malformed_input_out_and_reports_it(spark, tmp_path):
         ("hvfhv", "cut.parquet", "unreadable file"), ("zone", "zones.csv", "unparsed row")]
     assert spark.read.parquet(f"{out}/fct_trips").count() == 5
     assert spark.read.parquet(f"{out}/dim_zones").count() == 2
+
+
+def test_a_run_of_many_loads_merges_the_tables_once(spark, tmp_path, monkeypatch):
+    zones, classes = _dims(spark)
+    folder, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    _first(spark, folder)
+    _second(spark, folder)
+    written = []
+    real = delivery.PartitionedTable.replace
+    monkeypatch.setattr(delivery.PartitionedTable, "replace", lambda self, df, info: (written.append(os.path.basename(self.path)),
+                                                                                     real(self, df, info)))
+    assert [x["files"] for x in _load(spark, folder, out, zones, classes, max_files=2)] == [2, 2, 2, 2]
+    assert written == ["int_trips_unified", "fct_trips"]
+    _equals_full_build(spark, folder, out, zones, classes)
+    assert os.listdir(f"{out}/_arrived") == []
+
+
+def test_rows_of_recorded_loads_reach_the_tables_after_a_death(spark, tmp_path, monkeypatch):
+    zones, classes = _dims(spark)
+    folder, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    _first(spark, folder)
+
+    def die(*a):
+        raise Died
+    with monkeypatch.context() as m:
+        real = IngestLedger.begin
+        m.setattr(IngestLedger, "begin", lambda self, files: die() if self.loads() else real(self, files))
+        with pytest.raises(Died):
+            _load(spark, folder, out, zones, classes, max_files=3)      # one load is recorded, nothing is merged
+    assert not os.path.exists(f"{out}/fct_trips")
+    gone = os.listdir(f"{folder}/yellow")
+    ledger = IngestLedger(spark, f"{out}/ingest_ledger")
+    taken = {os.path.basename(e.path) for e in ledger.entries().collect() if e.feed == "yellow"}
+    for name in set(gone) - taken:
+        os.remove(f"{folder}/yellow/{name}")
+    assert _load(spark, folder, out, zones, classes) == []              # nothing arrived, the rest is done
+    _equals_full_build(spark, folder, out, zones, classes)

@@ -11,10 +11,14 @@ yet, whatever dates their rows carry:
 * a load merges the rows of its files by date partition with the batch dedup rule, so a key that
   was delivered before stays one row, and the tables equal a full build over all files.
 
-A load is exactly-once. Its files are first named in a note (``_open.json``), then the tables are
-merged under the load's number, then the ledger gets its rows, then the note goes. A run that dies
+A load is exactly-once. Its files are first named in a note (``_open.json``), then its rows are stored
+under the load's number, then the ledger gets its rows, then the note goes. A run that dies
 in between leaves the note, and the next run repeats that load with the same files and number:
-date partitions merge to the same rows, and per-load tables are overwritten by number.
+what is stored is overwritten by number.
+
+The tables are merged once in a run, by its last load and before that one is recorded: every load has rows
+of most dates, so a merge in each would write the tables anew as often as there are loads. If a run dies
+before, the rows stored by the loads so far are merged by the next run, whether or not a file arrived.
 
 Files are taken as immutable: one that was written anew (another length or time) is a new arrival.
 Files that cannot be read are reported in the ledger and not tried again until they change.
@@ -99,23 +103,26 @@ class IngestLedger:
 
 
 def load_arrivals(spark: SparkSession, feed_paths: Mapping[str, str], ledger_path: str,
-                  merge: Callable[[dict[str, list[str]], int], None], max_files: int = MAX_FILES) -> list[dict]:
+                  store: Callable[[dict[str, list[str]], int], None], settle: Callable[[], None],
+                  max_files: int = MAX_FILES) -> list[dict]:
     """Take every file that has arrived and was not taken yet; returns a summary of each load.
 
-    ``merge(files by feed, load number)`` puts the rows of some files into the tables. It must have the
-    same effect when it is called again with the same arguments.
+    ``store(files by feed, load number)`` stores the rows of some files, ``settle()`` merges what was stored
+    into the tables. Both must have the same effect when they are called again.
     """
     ledger = IngestLedger(spark, ledger_path)
     done = []
     while True:
-        load, resumed = ledger.open_load(), True
+        load, resumed, last = ledger.open_load(), True, True
         if load is None:
             resumed = False
-            # oldest first
-            rows = ledger.pending(arrived_files(spark, feed_paths)).orderBy("modified", "path").limit(max_files).select(*FILE_KEY).collect()
+            # oldest first; one more tells whether this load is the last one
+            rows = ledger.pending(arrived_files(spark, feed_paths)).orderBy("modified", "path").limit(max_files + 1).select(*FILE_KEY).collect()
             if not rows:
+                settle()
                 return done
-            load = ledger.begin([r.asDict() for r in rows])
+            last = len(rows) <= max_files
+            load = ledger.begin([r.asDict() for r in rows[:max_files]])
         by_feed: dict[str, list[str]] = {}
         for f in load["files"]:
             by_feed.setdefault(f["feed"], []).append(f["path"])
@@ -125,7 +132,9 @@ def load_arrivals(spark: SparkSession, feed_paths: Mapping[str, str], ledger_pat
             counts |= good
             unreadable += bad
             by_feed[feed] = sorted(good)
-        merge({k: v for k, v in by_feed.items() if v}, load["load"])
+        store({k: v for k, v in by_feed.items() if v}, load["load"])
+        if last:
+            settle()
         ledger.finish(load, counts, unreadable)
         done.append({"load": load["load"], "files": len(load["files"]), "rows": sum(counts.values()),
                      "unreadable": unreadable, "resumed": resumed})

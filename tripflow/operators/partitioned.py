@@ -35,10 +35,13 @@ Watch = Callable[[DataFrame], DataFrame]
 
 class PartitionedTable:
     """``cluster`` names columns by which the rows of a partition are laid out: files hold ranges of them and are
-    sorted, so a filter on them skips files and row groups by their statistics."""
+    sorted, so a filter on them skips files and row groups by their statistics.
 
-    def __init__(self, spark: SparkSession, path: str, column: str, cluster: Sequence[str] = ()):
-        self.spark, self.path, self.column, self.cluster = spark, path, column, list(cluster)
+    ``dealt`` says that what is written comes from a table partitioned by the same column without a shuffle
+    since: a task then holds the partitions of the few files it reads, and the rows are not moved again."""
+
+    def __init__(self, spark: SparkSession, path: str, column: str, cluster: Sequence[str] = (), dealt: bool = False):
+        self.spark, self.path, self.column, self.cluster, self.dealt = spark, path, column, list(cluster), dealt
         self.store = Store(spark)
 
     def _in(self, *names: str) -> str:
@@ -57,14 +60,16 @@ class PartitionedTable:
         if self.cluster:
             # the last key splits a date and value that hold a third of all rows over tasks
             df = df.repartitionByRange(self.column, *self.cluster, F.xxhash64(*df.columns))
-        else:
+        elif not self.dealt:
             # rebalance splits a date that holds a third of all rows over tasks, and packs quiet ones
             df = df.hint("rebalance", self.column)
         # what watches the rows comes behind that shuffle, so it runs in the tasks that write
         df = watch(df) if watch else df
         if self.cluster:
             df = df.sortWithinPartitions(self.column, *self.cluster)
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(self.column).parquet(path)
+        # the hexadecimal keys are half of what is written; zstd halves them, snappy does not
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
+         .partitionBy(self.column).parquet(path))
 
     def create(self, df: DataFrame, watch: Watch | None = None, state: Callable[[str], dict | None] | None = None) -> None:
         """Write the whole table; what an earlier write left behind goes.

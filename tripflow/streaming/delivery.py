@@ -47,6 +47,8 @@ from tripflow.sources.schemas import CANONICAL, CANONICAL_COLUMNS, RAW_SCHEMAS
 FEED_ORDER = ("yellow", "green", "hvfhv")
 # new files of one micro-batch and feed whose names the driver takes, unless the caller says less
 FILES_PER_BATCH = 1000
+# folder of the rows that were stored and are not in the tables yet
+ARRIVED = "_arrived"
 # Fixed value: the schema of Spark's file listing source
 FILE = "path string, modificationTime timestamp, length long, content binary"
 
@@ -73,8 +75,8 @@ class TripSink:
     def path(self, name: str) -> str:
         return os.path.join(self.out_dir, name)
 
-    def table(self, name: str) -> PartitionedTable:
-        return PartitionedTable(self.spark, self.path(name), PARTITION_COLUMN)
+    def table(self, name: str, dealt: bool = False) -> PartitionedTable:
+        return PartitionedTable(self.spark, self.path(name), PARTITION_COLUMN, dealt=dealt)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         files: dict[str, list[str]] = {}
@@ -84,19 +86,16 @@ class TripSink:
 
     def merge_files(self, files: dict[str, list[str]], batch_id: int) -> None:
         """Merge the rows of some files; the same call again changes nothing."""
+        self.store_files(files, batch_id)
+        self.settle()
+
+    def store_files(self, files: dict[str, list[str]], batch_id: int) -> None:
+        """Store the rows of some files under the batch's number, for ``settle``; the same call again changes
+        nothing. Of the classification each of the three writes computes only its own columns."""
         if not files:
             return
         parts = [classified(self.spark, f, sorted(files[f])) for f in FEED_ORDER if f in files]
-        # the micro-batch feeds three writes (anomalies, audit, trips): cache it for the
-        # duration of the batch; its lineage is one replayable file read, so a lost
-        # executor only re-reads those files
-        b = functools.reduce(lambda x, y: x.unionByName(y), parts).persist()
-        try:
-            self._merge(b, batch_id)
-        finally:
-            b.unpersist()
-
-    def _merge(self, b: DataFrame, batch_id: int) -> None:
+        b = functools.reduce(lambda x, y: x.unionByName(y), parts)
         anomalies = b.where(any_flag()).select(
             "vehicle_class", "vendor_id", "pickup_at", "dropoff_at", "pickup_zone_id",
             "dropoff_zone_id", "fare_amount", F.col("audit_total_amount").alias("total_amount"),
@@ -108,27 +107,41 @@ class TripSink:
             F.count_if(F.col("valid")).alias("valid_rows"),
             *[F.count_if(F.col(f)).alias(f) for f in FLAG_COLUMNS])
         self._write_batch(audit, "reject_counts", batch_id)
+        self._write_batch(b.where(F.col("valid")).select(*CANONICAL_COLUMNS), ARRIVED, batch_id)
 
-        trips = b.where(F.col("valid")).select(*CANONICAL_COLUMNS)
-        dates = [r[0] for r in trips.select(PARTITION_COLUMN).distinct().collect()]
-        unified, fact = self.table("int_trips_unified"), self.table("fct_trips")
+    def settle(self) -> None:
+        """Merge the stored rows of all batches since the last time into the tables, and remove them.
+
+        The rows go only when both tables hold them; merging them again changes nothing.
+        """
+        unified, fact = self.table("int_trips_unified"), self.table("fct_trips", dealt=True)
         unified.recover()
         fact.recover()
-        if not dates:
+        store = unified.store
+        # a batch without the marker died while it was written, and is stored again
+        waiting = [f"{self.path(ARRIVED)}/{n}" for n in store.names(self.path(ARRIVED))
+                   if store.exists(f"{self.path(ARRIVED)}/{n}/_SUCCESS")]
+        if not waiting:
             return
-        touched = F.col(PARTITION_COLUMN).isin(dates)
-        merged = trips
-        if unified.committed():
-            merged = self._stored().where(touched).unionByName(trips)
-        unified.replace(keep_first(merged), {"batch_id": batch_id})
-        # from the stored rows, so that a replay that finds the first table done mends the second
-        fact.replace(build_fact(self._stored().where(touched), self.zones, self.classes), {"batch_id": batch_id})
+        trips = self.spark.read.schema(CANONICAL).parquet(*waiting).select(*CANONICAL_COLUMNS)
+        dates = [r[0] for r in trips.select(PARTITION_COLUMN).distinct().collect()]
+        info = {"batches": [w.rsplit("=", 1)[1] for w in waiting]}
+        if dates:
+            touched = F.col(PARTITION_COLUMN).isin(dates)
+            merged = trips
+            if unified.committed():
+                merged = self._stored().where(touched).unionByName(trips)
+            unified.replace(keep_first(merged), info)
+            # from the stored rows, so that a replay that finds the first table done mends the second
+            fact.replace(build_fact(self._stored().where(touched), self.zones, self.classes), info)
+        for w in waiting:
+            store.delete(w)
 
     def _stored(self) -> DataFrame:
         return self.spark.read.schema(CANONICAL).parquet(self.path("int_trips_unified")).select(*CANONICAL_COLUMNS)
 
     def _write_batch(self, df: DataFrame, name: str, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(self.path(os.path.join(name, f"batch_id={batch_id}")))
+        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(os.path.join(name, f"batch_id={batch_id}")))
 
 
 def start_delivery(spark: SparkSession, feed_paths: dict[str, str], out_dir: str,
@@ -156,10 +169,12 @@ def deliver_arrived(spark: SparkSession, feed_paths: dict[str, str], out_dir: st
     """One scheduled run without a stream: take every file that arrived since the last one.
 
     What was taken is in the ingest ledger (``operators.ledger``) under ``ingest_ledger`` in the output
-    folder. Returns a summary of each load.
+    folder. The loads store their rows, and the last one merges them into the tables (``TripSink.settle``), so
+    what a run writes grows with what arrived, not with the number of loads times the tables. Returns a
+    summary of each load.
     """
     sink = TripSink(spark, out_dir, zones, classes)
-    return load_arrivals(spark, feed_paths, sink.path("ingest_ledger"), sink.merge_files, max_files)
+    return load_arrivals(spark, feed_paths, sink.path("ingest_ledger"), sink.store_files, sink.settle, max_files)
 
 
 def reject_audit_from_counts(spark: SparkSession, out_dir: str) -> DataFrame:
