@@ -181,3 +181,29 @@ def test_newest_date_ignores_later_rows_and_empty_days(spark, tmp_path):
     assert newest_loaded_date(table, target, "2024-01-05 07:59:59") == "2024-01-02"
     assert newest_loaded_date(table, target, "2024-01-05 08:00:00") == "2024-01-05"
     assert newest_loaded_date(table, target, "2023-01-05 08:00:00") is None
+
+
+def test_only_dates_of_the_batch_meet_its_keys(spark, tmp_path, monkeypatch):
+    from tripflow.operators import incremental
+    from tripflow.operators.fact import build_fact
+    zones, classes = _dims(spark)
+    for name, trips in (("target", [_trip("k1", 1, 1.0), _trip("k2", 2, 2.0)]), ("trips", [_trip("k2", 2, 9.0), _trip("k3", 3, 3.0)])):
+        spark.createDataFrame(trips, S.CANONICAL).write.parquet(str(tmp_path / name))
+    target, trips = (spark.read.schema(S.CANONICAL).parquet(str(tmp_path / n)) for n in ("target", "trips"))
+    df = incremental_fact(build_fact(target, zones, classes), trips, zones, classes)
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, x in enumerate(lines) if "Join LeftAnti" in x)
+    column = lines[at + 1].index(":-")
+    end = next(i for i in range(at + 1, len(lines)) if lines[i][column:column + 2] == "+-")
+    assert any("Filter" in x and "date_sub" in x for x in lines[at + 1:end])      # rows of older dates are not joined
+    assert {r.trip_id: r.fare_amount for r in df.collect()} == {"k1": 1.0, "k2": 9.0, "k3": 3.0}
+
+    met = []
+    real = incremental.kept_rows
+    monkeypatch.setattr(incremental, "kept_rows", lambda old, batch: (met.append(sorted(r.trip_id for r in batch.collect())),
+                                                                      real(old, batch))[1])
+    path = str(tmp_path / "fct")
+    upsert_fact_table(spark, path, target, zones, classes)
+    upsert_fact_table(spark, path, trips, zones, classes)
+    assert met == [["k2"]]                                   # the table has no row of k3's day
+    assert {r.trip_id: r.fare_amount for r in spark.read.parquet(path).collect()} == {"k1": 1.0, "k2": 9.0, "k3": 3.0}
