@@ -40,8 +40,9 @@ def key_counts(table: DataFrame, keys: Sequence[str] = TRIP_KEY, days: Sequence[
     """
     if days is not None:
         table = table.where(F.col(PARTITION_COLUMN).isin([F.lit(d).cast("date") for d in days]))
-    per_key = table.groupBy(F.col(PARTITION_COLUMN).cast("string").alias("day"), *keys).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.groupBy("day").agg(F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("repeated"))
+    # the date itself is shuffled with each key, its text is not
+    per_key = table.groupBy(PARTITION_COLUMN, *keys).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.groupBy(F.col(PARTITION_COLUMN).cast("string").alias("day")).agg(F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("repeated"))
 
 
 class LoadChecks:
