@@ -37,8 +37,8 @@ class PartitionedTable:
     """``cluster`` names columns by which the rows of a partition are laid out: files hold ranges of them and are
     sorted, so a filter on them skips files and row groups by their statistics.
 
-    ``dealt`` says that what is written comes from a table partitioned by the same column without a shuffle
-    since: a task then holds the partitions of the few files it reads, and the rows are not moved again."""
+    ``dealt`` says that the rows come dealt by the column already, from a table partitioned by it or behind the
+    caller's ``rebalance``: a task then holds few partitions, and the rows are not moved again."""
 
     def __init__(self, spark: SparkSession, path: str, column: str, cluster: Sequence[str] = (), dealt: bool = False):
         self.spark, self.path, self.column, self.cluster, self.dealt = spark, path, column, list(cluster), dealt
