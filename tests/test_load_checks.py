@@ -147,3 +147,19 @@ def test_empty_build(world):
     checks = _load(world, [])
     assert set(_known(world, checks).values()) == {0}
     assert os.path.exists(os.path.join(path, "_SUCCESS"))
+
+
+def test_a_build_deals_rows_by_date_before_the_dimensions_are_joined(spark, tmp_path, monkeypatch):
+    from conftest import plan_text
+    from tripflow.operators import dims
+    from tripflow.operators.incremental import upsert_fact_table
+    from tripflow.operators.partitioned import PartitionedTable
+    from tripflow.sources.schemas import CANONICAL
+    spark.createDataFrame([], CANONICAL).write.parquet(str(tmp_path / "trips"))
+    zones = spark.createDataFrame([(1, "Queens", "A")], "location_id int, borough string, zone_name string")
+    seen = []
+    monkeypatch.setattr(PartitionedTable, "create", lambda self, df, *a: seen.append((self.dealt, plan_text(df, "simple"))))
+    trips = spark.read.schema(CANONICAL).parquet(str(tmp_path / "trips"))
+    upsert_fact_table(spark, str(tmp_path / "fct"), trips, zones, dims.dim_vehicle_class(spark))
+    dealt, plan = seen[0]
+    assert dealt and plan.index("BroadcastHashJoin") < plan.index("REBALANCE_PARTITIONS_BY_COL")
