@@ -78,6 +78,27 @@ def test_the_table_equals_a_batch_build_on_keys(spark, tmp_path):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_files_follow_the_tasks_that_write_and_the_state_is_off_the_heap(spark, tmp_path):
+    folder, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    _arrive(spark, folder, "a", 0, *[_trip(k) for k in range(600)], *[_trip(k) for k in range(50)])
+    name, provider = "spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass"
+    before, own = spark.conf.get(name), spark.conf.get(provider)
+    spark.conf.set(name, "40")
+    try:
+        q = dedup.start_dedup(spark, {"yellow": f"{folder}/yellow"}, out, write_tasks=3)
+        q.awaitTermination(300)
+    finally:
+        spark.conf.set(name, before)
+    assert q.exception() is None and len(_keys(spark, out)) == len(set(_keys(spark, out))) == 600
+    states = [s for p in q.recentProgress for s in p.stateOperators]
+    # the caller's number of state partitions holds, but not each of them writes a file of every date
+    assert {s.numShufflePartitions for s in states} == {40}
+    dates = [d for d in os.listdir(f"{out}/trips") if d.startswith("pickup_date=")]
+    assert len(dates) == 28
+    assert all(sum(f.endswith(".parquet") for f in os.listdir(f"{out}/trips/{d}")) <= 3 for d in dates)
+    assert any(m.startswith("rocksdb") for s in states for m in s.customMetrics) and spark.conf.get(provider) == own
+
+
 def test_unknown_arrival(spark, tmp_path):
     with pytest.raises(ValueError):
         dedup.arrival_time("pickup")
