@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from conftest import SF_SMALL, plan_nodes
+from conftest import SF_SMALL, plan_nodes, plan_text
 from tripflow.plans import checks as C
 from tripflow.plans import suite as M
 from tripflow.plans.models import build_models
@@ -90,6 +90,16 @@ def test_scans_per_table_are_bounded(spark):
     assert plan_nodes(C.run_checks(spark, m, checks), "Scan parquet") <= 2 + keys
 
 
+def test_key_checks_of_the_report_do_not_shuffle_the_trips(spark):
+    from tripflow.plans import queries as Q
+    df = Q.registry()["check_unique_combination"](spark, SF_SMALL)
+    # the stored trips lie in buckets of the key, and the fact's joins keep them
+    plan = plan_text(df)
+    assert plan.count("Bucketed: true") == 2 and "hashpartitioning(trip_id" not in plan
+    assert {r.check_id: r.failures for r in df.collect()} == {f"unique_combination.{t}": 0 for t in (M.UNIFIED, M.FACT)}
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("tripflow_")]
+
+
 def test_combinations_group_nulls_and_do_not_mix_columns(spark):
     rows = [("a", None), (None, "a"), ("a", ""), ("", "a"), (None, None), (None, None), ("1:a", None), ("1", ":a")]
     df = spark.createDataFrame(rows, "x string, y string")
