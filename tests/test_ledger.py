@@ -7,7 +7,7 @@ import os
 
 import pytest
 
-from conftest import raw
+from conftest import plan_nodes, plan_text, raw
 from tripflow.operators import dims, rejects, staging, unify
 from tripflow.operators.fact import build_fact
 from tripflow.operators.ledger import IngestLedger, arrived_files
@@ -226,3 +226,25 @@ def test_rows_of_recorded_loads_reach_the_tables_after_a_death(spark, tmp_path,
         os.remove(f"{folder}/yellow/{name}")
     assert _load(spark, folder, out, zones, classes) == []              # nothing arrived, the rest is done
     _equals_full_build(spark, folder, out, zones, classes)
+
+
+def test_a_merge_shuffles_the_rows_once_and_sorts_no_wide_rows(spark, tmp_path, monkeypatch):
+    zones, classes = _dims(spark)
+    folder, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    _first(spark, folder)
+    written = {}
+    real = delivery.PartitionedTable.replace
+
+    def replace(self, df, info):
+        written[os.path.basename(self.path)] = (self.dealt, plan_nodes(df, "Exchange"), "REBALANCE" in plan_text(df),
+                                                df.sparkSession.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+        real(self, df, info)
+    monkeypatch.setattr(delivery.PartitionedTable, "replace", replace)
+    for arrive in (_first, _second):
+        if arrive is _second:
+            _second(spark, folder)
+        _load(spark, folder, out, zones, classes)
+        # dealt by the shuffle that meets the copies; the fact is written from that without another one
+        assert written == {"int_trips_unified": (True, 1, False, "64"), "fct_trips": (True, 0, False, "64")}
+        _equals_full_build(spark, folder, out, zones, classes)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_nodes, plan_text
 from tripflow.operators.joins import is_small, sized_broadcast
-from tripflow.operators.unify import keep_first
+from tripflow.operators.unify import day_sizes, first_by_day, keep_first
 from tripflow.sources import schemas as S
 
 
@@ -122,3 +122,41 @@ def test_hot_value_in_checks_collapses_before_shuffle(spark):
     written = _exchange_records(job)
     # distinct keys once, the hot key at most once per task
     assert written and max(written) <= (n - n // 3) + 2 * parts
+
+
+def test_dedup_by_day_splits_large_days_and_collapses_a_hot_key_before_its_shuffle(spark, tmp_path):
+    """Days dealt in parts give the rows of ``keep_first``, and a key delivered over and over is no hot task."""
+    t = dt.datetime(2024, 1, 1)
+    n = 20_000
+    # a third is one key; the others come two or three times, as in the feeds a key has one time and one date
+    key = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 5000)
+    ids = spark.range(0, n, numPartitions=4).withColumn("k", key)
+    rows = ids.select(
+        F.md5(F.col("k").cast("string")).alias("trip_id"), F.lit("yellow").alias("vehicle_class"), F.lit(1).alias("vendor_id"),
+        F.timestamp_add("SECOND", F.col("k"), F.lit(t).cast("timestamp_ntz")).alias("pickup_at"),
+        F.lit(t).cast("timestamp_ntz").alias("dropoff_at"),
+        F.date_add(F.lit(t.date()), F.pmod("k", F.lit(3)).cast("int")).alias("pickup_date"),
+        F.lit(1).alias("pickup_zone_id"), F.lit(2).alias("dropoff_zone_id"),
+        F.lit(1).alias("passenger_count"), F.lit(1.0).alias("trip_distance_miles"), F.lit(5.0).alias("fare_amount"),
+        (F.col("id") % 1000).cast("double").alias("tip_amount"), F.lit(9.0).alias("total_amount"),
+        F.lit(1).alias("payment_type"), F.lit(1).alias("rate_code_id"),
+        *[F.lit(0.0).alias(c) for c in ("extra", "mta_tax", "tolls_amount", "improvement_surcharge",
+                                          "congestion_surcharge", "airport_fee")])
+    rows.write.parquet(str(tmp_path / "trips"))
+    rows = spark.read.schema(S.CANONICAL).parquet(str(tmp_path / "trips")).select(*S.CANONICAL_COLUMNS)
+    days = day_sizes(rows, part_rows=1000)
+    assert sum(d.rows for d in days) == n and [len(d.crowded) for d in sorted(days)] == [0, 0, 1]
+    out = first_by_day(rows, days, part_rows=1000)
+    got, want = out.collect(), keep_first(rows).collect()
+    assert sorted(got) == sorted(want) and out.columns == rows.columns
+    # no exchange carries the hot key's copies: what went before the deal is at most a row of it per task
+    assert max(_exchange_records(out)) < n * 3 // 4
+    # a large day lies in parts
+    assert re.search(r"hashpartitioning\(pickup_date#\d+, _part#", plan_text(out))
+
+
+def test_dedup_by_day_is_one_shuffle_of_rows(spark, tmp_path):
+    spark.createDataFrame([], S.CANONICAL).write.parquet(str(tmp_path / "trips"))
+    rows = spark.read.schema(S.CANONICAL).parquet(str(tmp_path / "trips")).select(*S.CANONICAL_COLUMNS)
+    out = first_by_day(rows, day_sizes(rows))
+    assert plan_nodes(out, "Exchange") == 1 and out.collect() == []

@@ -28,9 +28,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.files import Store
+from tripflow.session import session_with
 
 MANIFEST, LOADS, COMMITTED, STATE = "_load.json", "_loads", "_SUCCESS", "_state.json"
 Watch = Callable[[DataFrame], DataFrame]
+# Fixed value: a task writes so many partitions side by side, without sorting (and spilling) wide rows; it sorts what is beyond
+WRITE_CONF = {"spark.sql.maxConcurrentOutputFileWriters": "64"}
+
+
+def writing_session(spark: SparkSession) -> SparkSession:
+    """A session with the caller's settings whose writes of dealt rows need no sort."""
+    return session_with(spark, WRITE_CONF)
 
 
 class PartitionedTable:
@@ -38,7 +46,8 @@ class PartitionedTable:
     sorted, so a filter on them skips files and row groups by their statistics.
 
     ``dealt`` says that the rows come dealt by the column already, from a table partitioned by it or behind the
-    caller's ``rebalance``: a task then holds few partitions, and the rows are not moved again."""
+    caller's ``rebalance``: a task then holds few partitions, and the rows are not moved again. The caller best
+    reads them by a session of ``writing_session``, which does not sort them either."""
 
     def __init__(self, spark: SparkSession, path: str, column: str, cluster: Sequence[str] = (), dealt: bool = False):
         self.spark, self.path, self.column, self.cluster, self.dealt = spark, path, column, list(cluster), dealt

@@ -8,7 +8,7 @@ tables partitioned by ``pickup_date``:
 
 * unified trips: for each date the batch touches, the stored rows of that date
   and the batch rows are deduplicated together with the batch rule
-  (``keep_first``). A key hashes the raw pick-up time, so duplicates always
+  (``first_by_day``). A key hashes the raw pick-up time, so duplicates always
   meet in the same date partition and the result equals a batch build over
   all files, whatever the arrival order;
 * fact: rebuilt for the touched dates from the merged unified rows (broadcast
@@ -39,8 +39,8 @@ from tripflow.operators.classify import FEEDS, FLAG_COLUMNS, any_flag, classify
 from tripflow.operators.fact import build_fact
 from tripflow.operators.incremental import PARTITION_COLUMN
 from tripflow.operators.ledger import MAX_FILES, load_arrivals
-from tripflow.operators.partitioned import PartitionedTable
-from tripflow.operators.unify import canonical_columns, keep_first
+from tripflow.operators.partitioned import PartitionedTable, writing_session
+from tripflow.operators.unify import canonical_columns, day_sizes, first_by_day
 from tripflow.sources.readers import read_feed
 from tripflow.sources.schemas import CANONICAL, CANONICAL_COLUMNS, RAW_SCHEMAS
 
@@ -114,7 +114,7 @@ class TripSink:
 
         The rows go only when both tables hold them; merging them again changes nothing.
         """
-        unified, fact = self.table("int_trips_unified"), self.table("fct_trips", dealt=True)
+        unified, fact = self.table("int_trips_unified", dealt=True), self.table("fct_trips", dealt=True)
         unified.recover()
         fact.recover()
         store = unified.store
@@ -123,22 +123,24 @@ class TripSink:
                    if store.exists(f"{self.path(ARRIVED)}/{n}/_SUCCESS")]
         if not waiting:
             return
-        trips = self.spark.read.schema(CANONICAL).parquet(*waiting).select(*CANONICAL_COLUMNS)
-        dates = [r[0] for r in trips.select(PARTITION_COLUMN).distinct().collect()]
+        own = writing_session(self.spark)
+        trips = own.read.schema(CANONICAL).parquet(*waiting).select(*CANONICAL_COLUMNS)
+        days = day_sizes(trips)
         info = {"batches": [w.rsplit("=", 1)[1] for w in waiting]}
-        if dates:
-            touched = F.col(PARTITION_COLUMN).isin(dates)
+        if days:
+            touched = F.col(PARTITION_COLUMN).isin([d.pickup_date for d in days])
             merged = trips
             if unified.committed():
-                merged = self._stored().where(touched).unionByName(trips)
-            unified.replace(keep_first(merged), info)
+                merged = self._stored(own).where(touched).unionByName(trips)
+                days = day_sizes(merged)
+            unified.replace(first_by_day(merged, days), info)
             # from the stored rows, so that a replay that finds the first table done mends the second
-            fact.replace(build_fact(self._stored().where(touched), self.zones, self.classes), info)
+            fact.replace(build_fact(self._stored(own).where(touched), self.zones, self.classes), info)
         for w in waiting:
             store.delete(w)
 
-    def _stored(self) -> DataFrame:
-        return self.spark.read.schema(CANONICAL).parquet(self.path("int_trips_unified")).select(*CANONICAL_COLUMNS)
+    def _stored(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(CANONICAL).parquet(self.path("int_trips_unified")).select(*CANONICAL_COLUMNS)
 
     def _write_batch(self, df: DataFrame, name: str, batch_id: int) -> None:
         df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(os.path.join(name, f"batch_id={batch_id}")))
