@@ -8,6 +8,7 @@ import pytest
 
 from conftest import plan_text
 from test_incremental import _dims, _trip
+from tripflow.operators import partitioned as P
 from tripflow.operators.incremental import PARTITION_COLUMN, upsert_fact_table
 from tripflow.operators.partitioned import PartitionedTable
 from tripflow.plans import checks as C
@@ -163,3 +164,55 @@ def test_a_build_deals_rows_by_date_before_the_dimensions_are_joined(spark, tmp_
     upsert_fact_table(spark, str(tmp_path / "fct"), trips, zones, dims.dim_vehicle_class(spark))
     dealt, plan = seen[0]
     assert dealt and plan.index("BroadcastHashJoin") < plan.index("REBALANCE_PARTITIONS_BY_COL")
+
+
+def _dealt(spark, path, rows):
+    """Trips as a table in folders of dates, read by a session that writes without a sort."""
+    own = P.writing_session(spark)
+    P.PartitionedTable(own, path, PARTITION_COLUMN, dealt=True).create(own.createDataFrame(rows, S.CANONICAL).hint("rebalance", PARTITION_COLUMN))
+    return own, own.read.schema(S.CANONICAL).parquet(path).select(*S.CANONICAL_COLUMNS)
+
+
+def test_loads_of_dealt_trips_count_as_others_do(world, tmp_path):
+    spark, path, tables, suite = world
+    for i, rows in enumerate((FIRST, SECOND, [_trip("z", 5, 1.0)])):     # new, held and new, new days alone
+        own, trips = _dealt(spark, str(tmp_path / f"trips{i}"), rows)
+        checks = L.LoadChecks(own, suite, tables)
+        upsert_fact_table(own, path, trips, tables[M.DIM_ZONES], tables[M.DIM_CLASS], lookback_days=0 if i == 2 else 1,
+                          checks=checks, dealt=True)
+        state = PartitionedTable(spark, path, PARTITION_COLUMN).state()
+        assert state is not None
+        known, scan = _known(world, checks), _scan(world)
+        assert {k: scan[k] for k in known} == known
+    assert sorted(state["days"]) == [f"2024-01-0{d}" for d in range(1, 6)] and scan["unique_combination.fct_trips"] >= 1
+
+
+def test_the_loads_of_the_query_shuffle_no_new_day(spark, monkeypatch):
+    from conftest import SF_SMALL, plan_nodes
+    from tripflow.plans import queries as Q
+    seen = []
+    for name in ("create", "replace"):
+        real = getattr(PartitionedTable, name)
+        monkeypatch.setattr(PartitionedTable, name, lambda self, df, *a, _real=real, **b: (
+            seen.append((self.dealt, plan_nodes(df, "Exchange"), plan_text(df))), _real(self, df, *a, **b)))
+    checks, table = Q._loaded_with_checks(spark, SF_SMALL)
+    (d0, unified, _), (d1, build, _), (d2, _, load) = seen
+    assert d0 and d1 and d2
+    assert unified == 1 and build == 0          # deduplicated where it is written, then only read
+    assert load.count("REBALANCE") >= 1 and "Union" in load
+    assert table.state() is not None
+
+
+def test_days_are_counted_by_hashes_and_exactly_where_these_agree(world, monkeypatch):
+    spark, path, tables, suite = world
+    checks = _load(world, FIRST)
+    want = {"2024-01-01": [1, 0], "2024-01-02": [2, 0], "2024-01-03": [4, 1]}
+    counted = []
+    real = L.key_counts
+    monkeypatch.setattr(L, "key_counts", lambda t, keys, days=None: (counted.append((list(keys), days)), real(t, keys, days))[1])
+    assert checks._days(path) == want
+    assert counted == [(["hash"], None), (S.TRIP_KEY, ["2024-01-03"])]
+    # hashes that agree for different keys change no count
+    monkeypatch.setattr(L.F, "xxhash64", lambda *c: L.F.lit(7))
+    assert checks._days(path) == want
+    assert counted[-1][0] == S.TRIP_KEY and sorted(counted[-1][1]) == ["2024-01-02", "2024-01-03"]

@@ -73,9 +73,19 @@ class LoadChecks:
         return joined.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).select(*df.columns), seen
 
     def _days(self, path: str) -> dict[str, list[int]]:
-        """Rows and repeated keys of each day under ``path``: calendar days, a bounded list."""
-        found = key_counts(self.spark.read.schema(FACT).parquet(path), self.keys)
-        return {r.day: [r.rows, r.repeated] for r in found.collect()}
+        """Rows and repeated keys of each day under ``path``: calendar days, a bounded list.
+
+        Equal keys have equal hashes, so days without equal hashes have no repeated key: only the 8 bytes of a key's
+        hash are shuffled. The keys of the other days are counted themselves.
+        """
+        table = self.spark.read.schema(FACT).parquet(path)
+        hashes = table.select(PARTITION_COLUMN, F.xxhash64(*self.keys).alias("hash"))
+        found = {r.day: [r.rows, r.repeated] for r in key_counts(hashes, ["hash"]).collect()}
+        alike = [day for day, (_, repeated) in found.items() if repeated]
+        if alike:
+            exact = key_counts(table, self.keys, None if None in alike else alike)
+            found |= {r.day: [r.rows, r.repeated] for r in exact.collect()}
+        return found
 
     def _state(self, counts: Mapping[str, int], days: dict[str, list[int]]) -> dict:
         prints = {c.check_id: self.fingerprint(c) for c in self.of_row if c.kind == "relationships"}
@@ -100,22 +110,27 @@ class LoadChecks:
             return self._state(self._by_check(seen[0]), days)
         return watch, state
 
-    def of_load(self, before: dict | None, old: DataFrame, days: Sequence[str]) -> tuple[DataFrame, Watch, State]:
+    def of_load(self, before: dict | None, old: DataFrame, days: Sequence[str],
+                empty: bool = False) -> tuple[DataFrame, Watch, State]:
         """(rows of the touched days before, watch, state) of a load, for ``PartitionedTable.replace``.
 
-        ``before`` is the table's state, ``old`` its rows of the touched ``days``.
+        ``before`` is the table's state, ``old`` its rows of the touched ``days``. If it is known that there are none
+        (``empty``), the load need not read them.
         """
         watch, build = self.of_build()
         current = before if before is not None and self._current(before) else None
         if current is None:                     # nothing to go on: the next report counts by a scan
             return old, lambda df: df, lambda path: None
-        old, gone = self.watched(old)
+        gone = None
+        if not empty:
+            old, gone = self.watched(old)
 
         def state(path: str) -> dict | None:
             now = build(path)
-            if now is None or gone.get["rows"] != sum(current["days"].get(d, [0, 0])[0] for d in days):
+            rows = gone.get["rows"] if gone else 0
+            if now is None or rows != sum(current["days"].get(d, [0, 0])[0] for d in days):
                 return None
-            was = self._by_check(gone)
+            was = self._by_check(gone) if gone else dict.fromkeys(now["counts"], 0)
             counts = {k: current["counts"][k] - was[k] + n for k, n in now["counts"].items()}
             return self._state(counts, {d: v for d, v in current["days"].items() if d not in set(days)} | now["days"])
         return old, watch, state
