@@ -99,6 +99,39 @@ def test_files_follow_the_tasks_that_write_and_the_state_is_off_the_heap(spark,
     assert any(m.startswith("rocksdb") for s in states for m in s.customMetrics) and spark.conf.get(provider) == own
 
 
+def _start(spark, folder, out, partitions, **more):
+    """(state partitions, whether tasks combine them) of a run in a session with so many shuffle partitions."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(partitions))
+    try:
+        q = dedup.start_dedup(spark, {"yellow": f"{folder}/yellow"}, out, **more)
+        q.awaitTermination(300)
+        assert spark.conf.get(name) == str(partitions)
+    finally:
+        spark.conf.set(name, before)
+    assert q.exception() is None
+    return {s.numShufflePartitions for p in q.recentProgress for s in p.stateOperators}, "Coalesce" in q._jsq.explainInternal(False)
+
+
+def test_each_writing_task_has_one_part_of_the_state(spark, tmp_path):
+    """So that it runs where that part is held: Spark places combined partitions by host, not by executor."""
+    folder, cores = str(tmp_path / "raw"), spark.sparkContext.defaultParallelism
+    _arrive(spark, folder, "a", 0, *[_trip(k) for k in range(60)])
+    assert _start(spark, folder, str(tmp_path / "new"), cores + 30) == ({cores}, False)
+    assert _start(spark, folder, str(tmp_path / "few"), 2) == ({2}, False)
+    assert len(_keys(spark, str(tmp_path / "new"))) == len(_keys(spark, str(tmp_path / "few"))) == 60
+
+
+def test_a_stream_that_began_with_more_parts_keeps_them(spark, tmp_path):
+    folder, out, cores = str(tmp_path / "raw"), str(tmp_path / "out"), spark.sparkContext.defaultParallelism
+    _arrive(spark, folder, "a", 0, *[_trip(k) for k in range(60)])
+    assert _start(spark, folder, out, cores + 30, write_tasks=3) == ({cores + 30}, True)
+    _arrive(spark, folder, "b", 1, *[_trip(k) for k in range(50, 70)])
+    assert _start(spark, folder, out, cores) == ({cores + 30}, True)
+    assert len(_keys(spark, out)) == len(set(_keys(spark, out))) == 70
+
+
 def test_unknown_arrival(spark, tmp_path):
     with pytest.raises(ValueError):
         dedup.arrival_time("pickup")
